@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Little data can be much work here (names are cut into many pieces), so it stays spread out.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
 }
 
 

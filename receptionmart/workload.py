@@ -19,7 +19,7 @@ from .operators import quality, stats
 from .operators.columns import numeric_columns
 from .plans import analysis, dimension, matching, staging, views
 from .session import configure, materialize
-from .sources.readers import columns_of
+from .sources.readers import columns_of, spread
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -97,7 +97,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> views.Warehouse:
 
 def text_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole document texts as credit lines."""
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("reviewid"), F.col("text").alias("artist"))
+    return spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("reviewid"), F.col("text").alias("artist")))
 
 
 def text_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +110,7 @@ def text_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def name_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Cells that hold JSON lists of names (whole pages) and cells of free text (whole turns)."""
-    lists = table(spark, sf_dir, "pages").select(F.to_json(text.split_credits(F.col("html"))).alias("Artists"))
+    lists = spread(table(spark, sf_dir, "pages").select("html")).select(F.to_json(text.split_credits(F.col("html"))).alias("Artists"))
     return [lists, table(spark, sf_dir, "conversations").select(F.col("text").alias("artist_name"))]
 
 
@@ -308,7 +308,7 @@ def mapping_coverage(spark, sf_dir):
 
 def _weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = matching.distinct_names(text_bridge(spark, sf_dir))
-    right = table(spark, sf_dir, "pages").select(F.explode(text.split_credits(F.col("html"))).alias("artist"))
+    right = spread(table(spark, sf_dir, "pages").select("html")).select(F.explode(text.split_credits(F.col("html"))).alias("artist"))
     return matching.weighted_matches(left, matching.distinct_names(right))
 
 
