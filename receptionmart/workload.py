@@ -89,7 +89,7 @@ def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def warehouse(spark: SparkSession, sf_dir: str) -> views.Warehouse:
     return views.Warehouse(
         reviews(spark, sf_dir),
-        credits(spark, sf_dir).dropDuplicates(["reviewid", "artist"]),
+        credits(spark, sf_dir).distinct(),
         mapped_artists(spark, sf_dir),
         tracks(spark, sf_dir),
     )
