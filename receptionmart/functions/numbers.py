@@ -40,10 +40,13 @@ class Metric:
     def total(self, c: Column) -> Column:
         if self.scale is None:
             return F.sum(c)
-        return F.sum(F.round(c * F.lit(self.scale)).cast("bigint")).cast("double") / F.lit(float(self.scale))
+        return self._units(c) / F.lit(float(self.scale))
 
     def mean(self, c: Column) -> Column:
         if self.scale is None:
             return F.avg(c)
-        units = F.sum(F.round(c * F.lit(self.scale)).cast("bigint")).cast("double")
-        return units / F.nullif(F.count(c), F.lit(0)) / F.lit(float(self.scale))
+        return self._units(c) / F.nullif(F.count(c), F.lit(0)) / F.lit(float(self.scale))
+
+    def _units(self, c: Column) -> Column:
+        # Scaled values are whole up to rounding noise, so the nearest whole number is meant.
+        return F.sum(F.rint(c * F.lit(self.scale)).cast("bigint")).cast("double")

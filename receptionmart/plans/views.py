@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import Metric, share
@@ -43,12 +43,19 @@ def review_with_artist(w: Warehouse) -> DataFrame:
 
 
 def unmatched_artists(w: Warehouse) -> DataFrame:
-    """Credited artists without a mapping and how many reviews each has. Sort when reading."""
+    """Credited artists without a mapping and how many reviews each has. Sort when reading.
+
+    Credits are counted per artist before the dimension is joined, so an artist with very many credits
+    is one row there. An artist listed several times without a mapping counts that many times.
+    """
+    counted = (
+        w.bridge.join(w.reviews.select("reviewid"), "reviewid").groupBy("artist").agg(F.count("*").alias("n_credits"))
+    )
+    listed = w.dimension.groupBy("artist").agg(F.count_if(F.col("artist_spotify").isNull()).alias("n_unmapped"))
     return (
-        review_with_artist(w)
-        .filter(F.col("artist_spotify").isNull())
-        .groupBy(F.col("bridge_artist").alias("artist"))
-        .agg(F.count("*").alias("n_reviews"))
+        counted.join(listed, "artist", "left")
+        .select("artist", (F.col("n_credits") * F.coalesce("n_unmapped", F.lit(1))).alias("n_reviews"))
+        .filter(F.col("n_reviews") > 0)
     )
 
 
@@ -126,10 +133,10 @@ VIEWS = {
 }
 
 
-def register(spark: SparkSession, w: Warehouse) -> list[str]:
-    """(Re)create temporary views of the base tables and of every semantic view."""
-    for field in fields(w):
-        getattr(w, field.name).createOrReplaceTempView(TABLE_NAMES[field.name])
-    for name, view in VIEWS.items():
-        view(w).createOrReplaceTempView(name)
-    return [*TABLE_NAMES.values(), *VIEWS]
+def register(w: Warehouse, tables: bool = True) -> list[str]:
+    """(Re)create temporary views of every semantic view and, unless they are tables, the base tables."""
+    frames = {TABLE_NAMES[f.name]: getattr(w, f.name) for f in fields(w)} if tables else {}
+    frames |= {name: view(w) for name, view in VIEWS.items()}
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(name)
+    return list(frames)

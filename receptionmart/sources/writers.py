@@ -20,8 +20,10 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def save_table(df: DataFrame, name: str) -> None:
-    df.write.mode("overwrite").saveAsTable(name)
+def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Replace a table, in the warehouse folder or at a path of its own."""
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def _write_text(spark: SparkSession, path: str, content: str) -> None:

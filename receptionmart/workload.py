@@ -364,7 +364,7 @@ def blank_artists(spark, sf_dir):
 
 
 def orphans(spark, sf_dir):
-    """Labels without a document count as orphans, and documents without a label."""
+    """Documents as bridge rows and labels as reviews: documents without a label."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("reviewid"))
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("reviewid"))
     return quality.orphans(docs, labels)

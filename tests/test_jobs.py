@@ -9,7 +9,7 @@ from receptionmart import schemas
 from receptionmart.errors import DataQualityError, MissingInputError
 from receptionmart.operators import columns, manifest, quality
 from receptionmart.operators.ranking import keep_first, surrogate_key
-from receptionmart.plans import dimension, matching, pipeline, staging
+from receptionmart.plans import dimension, jobs, matching, pipeline, staging
 from receptionmart.sources import readers, writers
 
 
@@ -286,3 +286,34 @@ def test_pipeline(spark):
 
     got = {r.artist: (r.review_count, r.avg_score, r.track_count, r.total_streams) for r in artist_mart(w).collect()}
     assert got == {"Drake": (1, 6.0, 2, 150.0), "The Bad Seeds": (1, 8.3, 1, 7.0)}
+
+
+def test_published_tables(spark, tmp_path, mapped):
+    folder = str(tmp_path)
+    reviews, _ = staging.stage_reviews(raw_reviews(spark, GOOD, (2, "Drake", "u", "6", "0", "2010-01-02", "2010", "1", "2")))
+    bridge = spark.createDataFrame([(1, "nick cave"), (2, "Drake"), (2, "Drake"), (9, "Drake")], schemas.BRIDGE)
+    try:
+        report = jobs.load_reviews_and_bridge(reviews, bridge, folder)
+        assert (report.reviews, report.bridge_rows, report.duplicate_pairs, report.orphans) == (2, 4, 1, 1)
+        assert report.top_artists == [("Drake", 3), ("nick cave", 1)]
+        assert jobs.publish_dimension(mapped[1], folder).count() == 4
+        with pytest.raises(DataQualityError):
+            jobs.publish_dimension(mapped[1].withColumn("artist_norm", F.lit("")), folder)
+        assert spark.table("dim_artist").count() == 4
+        with pytest.raises(MissingInputError):
+            jobs.open_warehouse(spark)
+        tracks = spark.createDataFrame([("Drake", "s", *[1.0] * 8)], schemas.TRACKS)
+        writers.save_table(tracks, "spotify_youtube_clean", f"{folder}/tracks")
+        jobs.open_warehouse(spark)
+        assert [r.artist for r in spark.table("vw_artist_critics_vs_streams").collect()] == ["Drake"]
+        _, described, few = jobs.inspect(spark, "pitchfork_reviews", 1)
+        assert few.count() == 1 and described.filter("column_name = 'pub_date'").first().dtype == "string"
+    finally:
+        for table in ("pitchfork_reviews", "pitchfork_review_artists", "dim_artist", "spotify_youtube_clean"):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_published_pairs_on_disk(spark, tmp_path):
+    accepted, queued = jobs.publish_pairs(names(spark, ["Drake", "lv"], "artist"), names(spark, ["drake", "L.V."], "artist"), str(tmp_path))
+    assert [tuple(r) for r in accepted.collect()] == [("Drake", "drake", 100)]
+    assert readers.read_csv(spark, f"{tmp_path}/artist_review_queue").first().pf_clean == "lv"

@@ -67,8 +67,8 @@ def test_mart_keeps_artists_without_tracks(w):
 
 
 def test_registered_views_answer_sql(spark, w):
-    names = views.register(spark, w)
-    views.register(spark, w)
+    names = views.register(w)
+    views.register(w)
     assert len(names) == 10
     got = spark.sql("SELECT artist, avg_score FROM vw_artist_critics_vs_streams WHERE review_count >= 2 ORDER BY total_streams DESC")
     assert [tuple(r) for r in got.collect()] == [("S", 8.0)]
