@@ -7,16 +7,15 @@ never matters. An empty table gives an empty result of the same schema.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..session import materialize
 
-__all__ = ["materialize", "small_enough", "table", "text_batches", "text_rows", "arrow_rows", "semi_join"]
+__all__ = ["anti_join", "materialize", "runs_of", "semi_join", "small_enough", "table", "text_batches", "text_rows"]
 
 # Rows of an Arrow batch; texts may be long, so fewer than the default.
 BATCH_ROWS = 2000
@@ -54,6 +53,29 @@ def text_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def arrow_rows(df: DataFrame, function: Callable, schema: StructType | str) -> DataFrame:
-    """``mapInArrow`` with a function over an iterator of batches."""
-    return df.mapInArrow(function, schema)
+def anti_join(df: DataFrame, keys: DataFrame, column: str, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is null or not in ``keys``; see ``semi_join``."""
+    keys = keys.select(column).distinct()
+    return df.join(F.broadcast(keys) if small_enough(keys, rows) else keys, column, "left_anti")
+
+
+def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows of a sorted stream, one table for each run of equal ``keys``."""
+    held: list[pa.RecordBatch] = []
+    at = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_pylist() for k in keys]
+        rows = list(zip(*columns))
+        start = 0
+        for i, row in enumerate(rows):
+            if row != at:
+                if i > start:
+                    held.append(batch.slice(start, i - start))
+                if held:
+                    yield pa.Table.from_batches(held)
+                held, start, at = [], i, row
+        held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held)

@@ -119,12 +119,12 @@ def repeated_filter(texts: DataFrame, rule: Rule) -> np.ndarray:
     parts = (
         texts.select("text")
         .mapInArrow(build, "segment int, seen binary, again binary")
-        .repartition(SEGMENTS, "segment")
+        .repartition("segment")
         .sortWithinPartitions("segment")
         .mapInArrow(merge, "segment int, again binary")
     )
     out = np.zeros(bits // 8, np.uint8)
-    for row in parts.toLocalIterator():  # SEGMENTS rows of a fixed size
+    for row in parts.collect():  # SEGMENTS rows of a fixed size
         out[row["segment"] * part : (row["segment"] + 1) * part] = np.frombuffer(zlib.decompress(row["again"]), np.uint8)
     return out
 
@@ -172,7 +172,7 @@ def drop_lines(df: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_
     keys = materialize(repeated_keys(texts, rule, suspects))
     keys_bytes = keys.agg(F.coalesce(F.sum(F.length("key") + 64), F.lit(0))).first()[0]
     if keys_bytes <= rule.broadcast_bytes and not rule.keep_first:
-        known = spark.sparkContext.broadcast(frozenset(bytes(r["key"]) for r in keys.select("key").toLocalIterator()))
+        known = spark.sparkContext.broadcast(frozenset(bytes(r["key"]) for r in keys.select("key").collect()))
         return _drop_known(df, known, text_col)
     return _drop_joined(df, keys, rule, suspects, id_col, text_col)
 

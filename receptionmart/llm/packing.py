@@ -36,7 +36,7 @@ SCHEMA = (
 )
 NAMES = [part.split()[0] for part in SCHEMA.split(", ")]
 # Entries of each cache of a Python worker.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 800_000
 
 
 @dataclass(frozen=True)
