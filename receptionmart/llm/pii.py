@@ -180,7 +180,7 @@ def _judged(c: Column) -> Column:
         _vote(c["ok"], ~c["ok"] & ~c["loose"]), _vote(listed, ~listed), _vote(cue, against), _vote(F.lit(False), joined), _vote(shaped & ~flat, ~shaped | flat)
     )
     features = F.array(
-        F.concat(F.lit("loose:"), c["loose"].cast("string")),
+        F.concat(F.lit("check:"), F.when(c["loose"], "none").when(c["ok"], "passed").otherwise("failed")),
         F.concat(F.lit("listed:"), listed.cast("string")),
         F.concat(F.lit("cue:"), cue.cast("string"), against.cast("string")),
         F.concat(F.lit("joined:"), joined.cast("string")),
