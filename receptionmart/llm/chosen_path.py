@@ -9,14 +9,16 @@ sets are alike. Pairs of similarity 0.8 meet in one run at depth 1 with a probab
 
 Buckets with the same members are compared once. Large buckets are cut into chunks and every two chunks meet in one
 task, which holds two chunks at most. A pair is counted only in the first bucket that its sets share, so counts are
-exact without a list of pairs: tasks return a count and a nearest root per set, never pairs. Classes are the connected
+exact without a list of pairs: tasks return a count and a nearest root per set, never pairs. Buckets are compared twice:
+first on sketches of 128 bytes, where a pair stays open from an estimate of ``sketch_least`` on (five standard
+deviations below 0.8), then only sets with an open partner are read and compared exactly. Longer paths and sets are
+computed from the texts again, which costs a scan but never shuffles sets that don't matter. Classes are the connected
 components of the links, found by star contraction of the roots, with one small stored table per round.
 
 Shingle hashes have 32 bits within a set and sets are told apart by 128 bits.
 
 Defined cases: a text of fewer words is one shingle of all its words; texts without words (null, empty) equal each other
-and nothing else; a null id is kept and, as the smallest of its class, stands for no class (class_id is then the smallest
-other id, or null); repeated rows are copies; an empty table gives an empty result.
+and nothing else; a null id is kept and names no class (class_id is the smallest other id, or null); repeated rows are copies; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, runs_of, semi_join, text_batches
+from .common import BROADCAST_ROWS, materialize, runs_of, semi_join, small_enough, text_batches
 
 
 @dataclass(frozen=True)
@@ -43,11 +45,14 @@ class Join:
     bucket: int = 200
     depth: int = 3
     #: Sets of a chunk of a large bucket.
-    chunk: int = 512
+    chunk: int = 2048
     #: A split that leaves a bucket with more than this share of its parent has not parted it.
     alike: float = 0.5
+    sketch_least: float = 0.6
 
 
+# Stands for a null id while rows are joined, larger than any other.
+NO_ID = 2**63 - 1
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -79,20 +84,35 @@ def _chosen(members: np.ndarray, paths: np.ndarray, fan_out: float) -> tuple[np.
     return path, _mix(drawn[path, member] + _M2).view(np.int64)
 
 
+def _sketch(members: np.ndarray) -> bytes:
+    """For each of 128 ranges of the hash values one byte of the smallest member, 0 where there is none."""
+    out = np.zeros(128, np.uint8)
+    if len(members):
+        order = np.sort(_mix(members.astype(np.uint64) * _M1) >> np.uint64(32))
+        place = (order >> np.uint64(25)).astype(np.int64)
+        first = np.r_[True, place[1:] != place[:-1]]
+        out[place[first]] = (order[first] % np.uint64(255)).astype(np.uint8) + 1
+    return out.tobytes()
+
+
+def _seeds(p: Join) -> np.ndarray:
+    return _mix(np.arange(1, p.runs + 1, dtype=np.uint64) * _M1)
+
+
 def _summary(p: Join):
-    seeds = _mix(np.arange(1, p.runs + 1, dtype=np.uint64) * _M1)
+    seeds = _seeds(p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches):
-            keys, sizes, nodes = [], [], []
+            keys, sketches, nodes = [], [], []
             for t in texts:
                 own = shingles(t, p.words)
                 keys.append(xxhash.xxh3_128_digest(own.tobytes()))
-                sizes.append(len(own))
+                sketches.append(_sketch(own))
                 nodes.append(np.unique(_chosen(own, seeds, p.fan_out)[1]) if len(own) else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(nodes, pa.list_(pa.int64()))],
-                ["id", "key", "size", "nodes"],
+                [batch.column("id"), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary()), pa.array(nodes, pa.list_(pa.int64()))],
+                ["id", "key", "sketch", "nodes"],
             )
 
     return run
@@ -107,18 +127,30 @@ def _sets(p: Join):
     return run
 
 
-def _split(p: Join):
-    """Children of large buckets: rows (key, node, members) to (key, parent, node)."""
+def _paths(p: Join, depth: int, parents):
+    """(key, parent, node) of all paths of a length; ``parents`` (broadcast, or None) are those that matter."""
+    seeds = _seeds(p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: list[tuple] = []
-            for key, node, raw in zip(batch.column("key").to_pylist(), batch.column("node").to_pylist(), batch.column("members").to_pylist()):
-                found = _chosen(np.frombuffer(raw, np.uint32), np.array([node], np.int64).view(np.uint64), p.fan_out)[1]
-                rows += [(key, node, c) for c in set(found.tolist())]
-            if rows:
-                a, b, c = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.int64()), pa.array(c, pa.int64())], ["key", "parent", "node"])
+        wanted = parents.value if parents is not None else None
+        for _, texts in text_batches(batches):
+            keys, above, below = [], [], []
+            for t in texts:
+                own = shingles(t, p.words)
+                nodes = seeds
+                for _ in range(depth):
+                    before = nodes.view(np.int64)
+                    path, found = _chosen(own, nodes, p.fan_out)
+                    nodes, first = np.unique(found, return_index=True)
+                    before, nodes = before[path[first]], nodes.view(np.uint64)
+                pick = np.isin(before, wanted) if wanted is not None else np.ones(len(before), bool)
+                keys += [xxhash.xxh3_128_digest(own.tobytes())] * int(pick.sum())
+                above.append(before[pick])
+                below.append(nodes.view(np.int64)[pick])
+            if keys:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.binary()), pa.array(np.concatenate(above)), pa.array(np.concatenate(below))], ["key", "parent", "node"]
+                )
 
     return run
 
@@ -158,32 +190,77 @@ def similar(left: list[np.ndarray], right: list[np.ndarray], least: float, wante
     return out & open_
 
 
+BLOCK = "key binary, node bigint, own int, low int, high int, copies bigint, shared array<bigint>"
 LINKS = "key binary, text_links bigint, links bigint, root binary"
 
 
+def _sides(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of either chunk of a block, and which pairs belong to its bucket.
+
+    Buckets are ordered by number: a pair belongs to the first one that its sets share.
+    """
+    node, first, second = (t.column(c)[0].as_py() for c in ("node", "low", "high"))
+    chunks = np.array(t.column("own").to_pylist())
+    ia, ib = np.flatnonzero(chunks == first), np.flatnonzero(chunks == second)
+    earlier = [[n for n in own if n < node] for own in t.column("shared").to_pylist()]
+    names = {n: k for k, n in enumerate(sorted(set().union(*earlier)))}
+    wanted = np.ones((len(ia), len(ib)), bool)
+    if names and wanted.size:
+        marks = np.zeros((len(chunks), len(names)), np.float32)
+        for i, own in enumerate(earlier):
+            marks[i, [names[n] for n in own]] = 1
+        wanted = (marks[ia] @ marks[ib].T) == 0
+    if first == second:
+        wanted &= np.arange(len(ia))[:, None] < np.arange(len(ib))[None, :]
+    return ia, ib, wanted
+
+
+def _prune(p: Join):
+    """Rows of a block that have an open partner by their sketches."""
+
+    def open_rows(t: pa.Table) -> np.ndarray:
+        ia, ib, wanted = _sides(t)
+        open_ = np.zeros(t.num_rows, bool)
+        if not wanted.any():
+            return np.flatnonzero(open_)
+        sketches = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, 128)
+        right = sketches[ib]
+        for i, row in zip(ia, wanted):
+            at = np.flatnonzero(row)
+            if len(at):
+                other, own = right[at], sketches[i]
+                used = ((other | own) != 0).sum(axis=1)
+                hit = at[((other == own) & (own != 0)).sum(axis=1) >= p.sketch_least * used]
+                if len(hit):
+                    open_[i] = True
+                    open_[ib[hit]] = True
+        return np.flatnonzero(open_)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for t in runs_of(batches, ["node", "low", "high"]):
+            at = open_rows(t)
+            if len(at):
+                held.append(t.take(pa.array(at)).drop_columns(["sketch"]))
+            if len(held) >= 500:
+                yield from pa.concat_tables(held).combine_chunks().to_batches()
+                held = []
+        if held:
+            yield from pa.concat_tables(held).combine_chunks().to_batches()
+
+    return run
+
+
 def _compare(p: Join):
     """Links within a block: a table of the sets of one or two chunks of a bucket."""
 
     def block(t: pa.Table) -> list[tuple]:
-        node = t.column("node")[0].as_py()
-        first, second = t.column("low")[0].as_py(), t.column("high")[0].as_py()
-        keys, chunks = t.column("key").to_pylist(), np.array(t.column("own").to_pylist())
+        ia, ib, wanted = _sides(t)
+        if not wanted.any():
+            return []
+        keys = t.column("key").to_pylist()
         copies = np.array(t.column("copies").to_pylist(), np.int64)
         sets = [np.frombuffer(m, np.uint32) for m in t.column("members").to_pylist()]
-        ia, ib = np.flatnonzero(chunks == first), np.flatnonzero(chunks == second)
-        if not len(ia) or not len(ib):
-            return []
-        # Buckets are ordered by number: a pair belongs to the first one that it shares.
-        earlier = [{n for n in own if n < node} for own in t.column("shared").to_pylist()]
-        names = {n: k for k, n in enumerate(sorted(set().union(*earlier)))}
-        wanted = np.ones((len(ia), len(ib)), bool)
-        if names:
-            marks = np.zeros((len(keys), len(names)), np.float32)
-            for i, own in enumerate(earlier):
-                marks[i, [names[n] for n in own]] = 1
-            wanted = (marks[ia] @ marks[ib].T) == 0
-        if first == second:
-            wanted &= np.arange(len(ia))[:, None] < np.arange(len(ib))[None, :]
         hit = similar([sets[i] for i in ia], [sets[i] for i in ib], p.similarity, wanted)
         if not hit.any():
             return []
@@ -256,31 +333,36 @@ def near_duplicates(df: DataFrame, p: Join = Join(), id_col: str = "doc_id", tex
     ``class_id`` is the smallest id of the class; ``n_links`` counts the other rows of a similarity of ``similarity`` or
     more, ``n_text_links`` the different sets among them, ``n_copies`` the rows with the same set.
     """
-    texts = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = materialize(texts.mapInArrow(_summary(p), "id bigint, key binary, size int, nodes array<bigint>"))
+    texts = df.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = materialize(texts.mapInArrow(_summary(p), "id bigint, key binary, sketch binary, nodes array<bigint>"))
     reps = materialize(
-        rows.groupBy("key").agg(F.min("id").alias("rep"), F.max(F.col("id").isNull()).alias("null_id"), F.count("*").alias("copies"), F.first("nodes").alias("nodes"))
+        rows.groupBy("key").agg(
+            F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"), F.first("nodes").alias("nodes")
+        )
     )
     placed = reps.select("key", F.explode("nodes").alias("node"))
 
     def counted(found: DataFrame, *by: str) -> DataFrame:
         return found.groupBy("node", *by).agg(F.count("*").alias("n")).filter("n > 1")
 
-    found = materialize(placed.join(counted(placed), "node"))
-    leaves = [found.filter(F.col("n") <= p.bucket).select("key", "node", "n")]
-    large = found.filter(F.col("n") > p.bucket).select("key", "node", "n")
-    wanted = found.select("key").distinct().join(reps.select("key", "rep"), "key")
-    # Null ids are -1 here; a set is found again by its key.
-    ids = materialize(wanted.select(F.coalesce("rep", F.lit(-1)).alias("id")))
-    source = semi_join(texts.withColumn("id", F.coalesce("id", F.lit(-1))), ids, "id")
-    sets = materialize(source.mapInArrow(_sets(p), "key binary, members binary").groupBy("key").agg(F.first("members").alias("members")))
-    for _ in range(p.depth - 1):
+    def texts_of(found: DataFrame) -> DataFrame:
+        """The texts that stand for the sets of ``found``."""
+        ids = found.select("key").distinct().join(reps.select("key", F.col("rep").alias("id")), "key")
+        return semi_join(texts, materialize(ids.select("id")), "id")
+
+    found = materialize(placed.join(counted(placed), "node").select("key", "node", "n"))
+    leaves = [found.filter(F.col("n") <= p.bucket)]
+    large = found.filter(F.col("n") > p.bucket)
+    for depth in range(2, p.depth + 1):
         if large.isEmpty():
             break
-        children = large.join(sets, "key").select("key", "node", "members").mapInArrow(_split(p), "key binary, parent bigint, node bigint")
-        children = materialize(children)
+        parents = materialize(large.select(F.col("node").alias("parent"), F.col("n").alias("parent_n")).distinct())
+        wanted = None
+        if small_enough(parents, BROADCAST_ROWS):
+            wanted = df.sparkSession.sparkContext.broadcast(parents.select("parent").toArrow()["parent"].to_numpy())
+        children = texts_of(large).mapInArrow(_paths(p, depth, wanted), "key binary, parent bigint, node bigint")
+        children = materialize(children.distinct().join(parents.select("parent"), "parent", "left_semi"))
         sizes = counted(children, "parent")
-        parents = large.select(F.col("node").alias("parent"), F.col("n").alias("parent_n")).distinct()
         most = sizes.groupBy("parent").agg(F.max("n").alias("most"))
         dense = materialize(most.join(parents, "parent").filter(F.col("most") > p.alike * F.col("parent_n")).select("parent"))
         leaves.append(large.join(dense.select(F.col("parent").alias("node")), "node", "left_semi").select("key", "node", "n"))
@@ -296,7 +378,7 @@ def near_duplicates(df: DataFrame, p: Join = Join(), id_col: str = "doc_id", tex
     kept = same.groupBy("n", "x", "s").agg(F.min("node").alias("node")).select("node")
     leaf = materialize(leaf.join(kept, "node", "left_semi"))
     shared = leaf.groupBy("key").agg(F.collect_set("node").alias("shared"))  # bounded by runs, fan-out and depth
-    info = sets.join(shared, "key").join(reps.select("key", "copies"), "key")
+    info = shared.join(reps.select("key", "copies", "sketch"), "key")
     chunks = F.ceil(F.col("n") / F.lit(p.chunk)).cast("int")
     own = F.pmod(F.xxhash64("key"), chunks).cast("int")
     blocks = (
@@ -304,17 +386,24 @@ def near_duplicates(df: DataFrame, p: Join = Join(), id_col: str = "doc_id", tex
         .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
         .select("key", "node", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
         .join(info, "key")
+        .select("key", "node", "own", "low", "high", "copies", "shared", "sketch")
     )
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    links = materialize(blocks.repartition(parts, "node", "low", "high").sortWithinPartitions("node", "low", "high", "key").mapInArrow(_compare(p), LINKS))
+
+    def by_block(found: DataFrame) -> DataFrame:
+        return found.repartition(parts, "node", "low", "high").sortWithinPartitions("node", "low", "high", "key")
+
+    open_ = materialize(by_block(blocks).mapInArrow(_prune(p), BLOCK))
+    sets = texts_of(open_).mapInArrow(_sets(p), "key binary, members binary").groupBy("key").agg(F.first("members").alias("members"))
+    links = materialize(by_block(open_.join(sets, "key")).mapInArrow(_compare(p), LINKS))
     roots = components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))
     counts = links.groupBy("key").agg(F.sum("text_links").alias("text_links"), F.sum("links").alias("links"))
     classes = reps.select("key", "rep", "copies").join(roots, "key", "left").join(counts, "key", "left")
     classes = materialize(classes.withColumn("root", F.coalesce("root", "key")))
-    names = classes.groupBy("root").agg(F.min("rep").alias("class_id"))
+    names = classes.groupBy("root").agg(F.min(F.when(F.col("rep") != NO_ID, F.col("rep"))).alias("class_id"))
     out = classes.join(names, "root").select("key", "class_id", "copies", F.coalesce("text_links", F.lit(0)).alias("text_links"), F.coalesce("links", F.lit(0)).alias("links"))
     return rows.select("id", "key").join(out, "key").select(
-        F.col("id").alias("doc_id"),
+        F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"),
         "class_id",
         (F.col("links") + F.col("copies") - 1).alias("n_links"),
         F.col("text_links").alias("n_text_links"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-__all__ = ["anti_join", "materialize", "runs_of", "semi_join", "small_enough", "table", "text_batches", "text_rows"]
+__all__ = ["BROADCAST_ROWS", "anti_join", "materialize", "runs_of", "semi_join", "small_enough", "table", "text_batches", "text_rows"]
 
 # Rows of an Arrow batch; texts may be long, so fewer than the default.
 BATCH_ROWS = 2000
