@@ -29,17 +29,18 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-# Patterns of the base rules, with the start of a run marked.
+# Patterns of the base rules, with the start of a run marked. Repeated groups end the patterns, so they are
+# possessive, which matches the same and doesn't use the stack for long runs.
 EMAIL_SIGN, DIGIT = "[A-Za-z0-9._%+-]", "[0-9]"
 BASE = {
-    "email": rf"(?:\G|(?<!{EMAIL_SIGN})){EMAIL_SIGN}+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "email": rf"(?:\G|(?<!{EMAIL_SIGN})){EMAIL_SIGN}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": rf"(?:\G|(?<!{DIGIT}))[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
-    "card": r"[0-9]([\x20-]?[0-9])+",
+    "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 # Looser patterns of candidates.
 LOOSE = {
-    "email": rf"(?i)(?:\G|(?<!{EMAIL_SIGN})){EMAIL_SIGN}+ ?[\[(]at[\])] ?[A-Za-z0-9-]+(?: ?[\[(]dot[\])] ?[A-Za-z0-9-]+)+",
+    "email": rf"(?i)(?:\G|(?<!{EMAIL_SIGN})){EMAIL_SIGN}+ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?[\[(]dot[\])] ?[A-Za-z0-9-]++)++",
     "phone": r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-])",
 }
 # Signs that every match of a pattern contains; texts without them are not searched.
