@@ -35,8 +35,8 @@ SCHEMA = (
     "offset bigint, loss_tokens bigint, sequence_tokens bigint"
 )
 NAMES = [part.split()[0] for part in SCHEMA.split(", ")]
-# Entries of each cache of a Python worker.
-CACHED_WORDS = 800_000
+# Entries of the caches of a Python worker, of words and of chunks.
+CACHED_WORDS, CACHED_CHUNKS = 400_000, 200_000
 
 
 @dataclass(frozen=True)
@@ -95,11 +95,11 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         chunks = text.replace("\n", " ").split(" ")
         if PLAIN.fullmatch(text) and "<|" not in text and unicodedata.is_normalized("NFC", text):
-            return _join(chunks, self.plain, self._plain_ids) + self.end
-        return _join(chunks, self.other, self._whole_ids) + self.end
+            return _join(chunks, self.plain, self._plain_ids, CACHED_CHUNKS) + self.end
+        return _join(chunks, self.other, self._whole_ids, CACHED_CHUNKS) + self.end
 
     def _plain_ids(self, chunks: list[str]) -> list[bytes]:
-        return [_join(WORD.findall(c.lower()), self.words, self._model_ids) for c in chunks]
+        return [_join(WORD.findall(c.lower()), self.words, self._model_ids, CACHED_WORDS) for c in chunks]
 
     def _model_ids(self, words: list[str]) -> list[bytes]:
         signs = [w.encode().decode("latin-1").translate(self.signs) for w in words]
@@ -109,12 +109,12 @@ class Encoder:
         return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
 
 
-def _join(parts: list[str], known: dict[str, bytes], encode) -> bytes:
+def _join(parts: list[str], known: dict[str, bytes], encode, most: int) -> bytes:
     try:
         return b"".join([known[p] for p in parts])
     except KeyError:
         pass
-    if len(known) > CACHED_WORDS:
+    if len(known) > most:
         known.clear()
     new = [p for p in dict.fromkeys(parts) if p not in known]
     known.update(zip(new, encode(new)))

@@ -34,9 +34,10 @@ UNITS = frozenset(
 NUMBER_WORDS = frozenset("two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million".split())
 NUMBER = re.compile(r"[+-]?[$€£]?[0-9][0-9.,/:]*%?$")
 QUANTITY = re.compile(r"([+-]?[0-9][0-9.,]*)([A-Za-zµ°]{1,4})$")
+STOPS = frozenset(".!?:")
 MARKS = ".,;:!?()[]{}\"'«»“”„…*"
 WORD, NUM, UNIT, NAME, QUANT, BREAK, SKIP = range(7)
-CACHED_TOKENS = 500_000
+CACHED_TOKENS = 150_000
 
 
 @dataclass(frozen=True)
@@ -57,18 +58,22 @@ PLACE = {NUM: _hash("<number>"), UNIT: _hash("<unit>"), NAME: _hash("<name>"), Q
 
 def kind_of(token: str) -> tuple[int, int, int, str]:
     """(kind, hash as a word, whether it ends a sentence, value). A capitalised word is NAME, unless it opens a sentence."""
-    core = token.strip(MARKS)
-    ends = int(token.rstrip("\"')»”")[-1:] in (".", "!", "?", ":"))
     if token == "\n":
         return BREAK, 0, 1, ""
+    core = token.strip(MARKS)
+    last = token[-1]
+    ends = int(last in STOPS or last in "\"')»”" and token.rstrip("\"')»”")[-1:] in STOPS and core != token)
     if not core:
         return SKIP, 0, ends, ""
     low = core.lower()
-    if NUMBER.match(core) or low in NUMBER_WORDS:
+    if not core.isalpha():
+        if NUMBER.match(core):
+            return NUM, _hash(low), ends, low
+        found = QUANTITY.match(core)
+        if found and found[2].lower() in UNITS:
+            return QUANT, _hash(low), ends, low
+    if low in NUMBER_WORDS:
         return NUM, _hash(low), ends, low
-    found = QUANTITY.match(core)
-    if found and found[2].lower() in UNITS:
-        return QUANT, _hash(low), ends, low
     if low in UNITS:
         return UNIT, _hash(low), ends, low
     return (NAME if core[0].isupper() and core != core.upper() else WORD), _hash(low), ends, low
