@@ -8,4 +8,8 @@ class MissingInputError(FileNotFoundError):
 
 
 class DataQualityError(ValueError):
-    """A quality check that must hold found violating rows."""
+    """A quality check that must hold found violating rows; ``offenders`` is the frame of all of them, if given."""
+
+    def __init__(self, message: str, offenders=None):
+        super().__init__(message)
+        self.offenders = offenders

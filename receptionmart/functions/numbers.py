@@ -26,6 +26,12 @@ def date_or_null(c: Column) -> Column:
     return F.to_date(F.try_to_timestamp(c.cast("string")))
 
 
+def whole_number(c: Column, kind: str) -> Column:
+    """Integer of a number or its text, also written like ``1.0``; fails where it isn't whole or doesn't fit."""
+    exact = c.cast("decimal(38,10)")
+    return F.when(exact % 1 != 0, F.raise_error(F.concat(F.lit("not a whole number: "), c.cast("string")))).otherwise(exact.cast(kind))
+
+
 class Metric:
     """Sum and mean of a metric, either as plain doubles or as exact fixed-point numbers.
 

@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .errors import MissingInputError
+
 # Runtime settings every job relies on; all of them may be set on a live session.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,11 +43,13 @@ def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage with a reliable checkpoint.
 
     Used where one result feeds several branches of a plan. The files go to the folder the cluster
-    names in ``spark.checkpoint.dir``; a private folder is made only where none is named.
+    names in ``spark.checkpoint.dir``. Only a local master may go without: there a private folder is made.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local["):
+            raise MissingInputError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="receptionmart-checkpoint-"))
     return df.checkpoint(eager=True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from receptionmart import schemas
 from receptionmart.errors import DataQualityError, MissingInputError
+from receptionmart.functions import numbers
 from receptionmart.operators import columns, manifest, quality
 from receptionmart.operators.ranking import keep_first, surrogate_key
 from receptionmart.plans import dimension, jobs, matching, pipeline, staging
@@ -317,3 +318,12 @@ def test_published_pairs_on_disk(spark, tmp_path):
     accepted, queued = jobs.publish_pairs(names(spark, ["Drake", "lv"], "artist"), names(spark, ["drake", "L.V."], "artist"), str(tmp_path))
     assert [tuple(r) for r in accepted.collect()] == [("Drake", "drake", 100)]
     assert readers.read_csv(spark, f"{tmp_path}/artist_review_queue").first().pf_clean == "lv"
+
+
+def test_sources_without_artists_and_flags_with_decimals(spark):
+    assert matching.candidate_names([]).count() == 0
+    raw = spark.createDataFrame([("1.0", "2004"), ("0", "1999.0"), (None, None)], "flag STRING, year STRING")
+    got = raw.select(numbers.whole_number(F.col("flag"), "tinyint").alias("f"), numbers.whole_number(F.col("year"), "smallint").alias("y")).collect()
+    assert [tuple(r) for r in got] == [(1, 2004), (0, 1999), (None, None)]
+    with pytest.raises(Exception, match="whole"):
+        raw.select(numbers.whole_number(F.lit("1.5"), "tinyint")).collect()
