@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# How far a scaled value may lie from a whole number: noise of binary fractions, absolute and relative.
+NOISE, RELATIVE_NOISE = 1e-6, 1e-12
+
 
 def share(part: Column, whole: Column, places: int = 3) -> Column:
     """``part / whole`` rounded half up; NULL when the whole is zero."""
@@ -37,7 +40,7 @@ class Metric:
 
     Double sums depend on the order in which partial results meet, so a rerun can differ in the last
     digit. With ``places`` set, values are added as integers of that many decimal places, which gives
-    the same result on every run and every layout.
+    the same result on every run and every layout; a value with more places fails.
     """
 
     def __init__(self, places: int | None = None):
@@ -54,5 +57,8 @@ class Metric:
         return self._units(c) / F.nullif(F.count(c), F.lit(0)) / F.lit(float(self.scale))
 
     def _units(self, c: Column) -> Column:
-        # Scaled values are whole up to rounding noise, so the nearest whole number is meant.
-        return F.sum(F.rint(c * F.lit(self.scale)).cast("bigint")).cast("double")
+        scaled = c.cast("double") * F.lit(float(self.scale))
+        whole = F.rint(scaled)
+        off = F.abs(scaled - whole) > F.greatest(F.lit(NOISE), F.abs(scaled) * F.lit(RELATIVE_NOISE))
+        message = F.concat(F.lit("more decimal places than the sum keeps: "), c.cast("string"))
+        return F.sum(F.when(off, F.raise_error(message)).otherwise(whole.cast("bigint"))).cast("double")

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from ..errors import DataQualityError
 
 MAX_ROW_LOSS_PCT = 2.0
+# Elements of number arrays are hashed as whole numbers of this unit, the same in every engine.
+ARRAY_UNITS = 2**30
 _FIELD_GAP = "\x1f"
 _NULL_MARK = "\x00"
 
@@ -26,12 +28,21 @@ def row_hash(columns: list[Column], method: str) -> Column:
     raise ValueError(f"unknown hash {method!r}")
 
 
+def _text_ready(field: T.StructField) -> Column:
+    """A column in a form whose text is the same in other engines."""
+    c = F.col(f"`{field.name}`")
+    kind = field.dataType
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.FloatType, T.DoubleType)):
+        return F.array_join(F.transform(c, lambda x: F.floor(x.cast("double") * F.lit(float(ARRAY_UNITS))).cast("string")), ",", "-")
+    return c
+
+
 def fingerprint(df: DataFrame, table: str, method: str = "xxhash64") -> DataFrame:
     """One row (table_name, n_rows, n_columns, fingerprint) that ignores row order and file layout.
 
     Hashes are added up, so partial results combine on the way and nothing is sorted.
     """
-    columns = [F.col(f"`{c}`") for c in df.columns]
+    columns = [_text_ready(f) if method == "md5" else F.col(f"`{f.name}`") for f in df.schema.fields]
     return df.agg(
         F.lit(table).alias("table_name"),
         F.count("*").alias("n_rows"),

@@ -6,11 +6,13 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Accuracy of the sketch that brackets a quantile; the bracket holds about 6/ACCURACY of the values.
 ACCURACY = 10_000
+# Half the width of the bracket in units of that accuracy.
+HALF_WIDTH = 3.0
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -34,15 +36,16 @@ def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Exact linearly interpolated quantiles as rows (metric, probability, n, quantile).
 
-    A sketch first brackets each quantile between two values. Values below the bracket are counted,
-    equal values are merged, and only the small bracket is ordered, so no task ever holds a whole
-    column. The sketch decides how much work is done, never the result.
+    Equal values are merged once for all quantiles. A sketch brackets each quantile between two values;
+    values outside are only counted, and only the small bracket is ordered, so no task ever holds a whole
+    column. The sketch decides how much work is done, never the result: the wanted ranks must lie in the
+    bracket or be the values next to it, else the query fails.
     """
     return _quantiles_of_long(_long(df, columns), probabilities)
 
 
 def _quantiles_of_long(long: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    margin = 3.0 / ACCURACY
+    margin = HALF_WIDTH / ACCURACY
     low = [max(p - margin, 0.0) for p in probabilities]
     high = [min(p + margin, 1.0) for p in probabilities]
     sketches = long.groupBy("metric").agg(
@@ -50,44 +53,50 @@ def _quantiles_of_long(long: DataFrame, probabilities: Sequence[float]) -> DataF
         F.percentile_approx("value", low, ACCURACY).alias("low"),
         F.percentile_approx("value", high, ACCURACY).alias("high"),
     )
-    # One row per metric and probability; small columns keep an open bracket.
-    open_bracket = F.col("n") < 4 * ACCURACY
+    # One row per metric and probability.
     targets = sketches.select(
         "metric",
         "n",
         F.inline(
             F.array(
                 *[
-                    F.struct(
-                        F.lit(float(p)).alias("probability"),
-                        F.when(~open_bracket & F.lit(p > margin), F.col("low")[i]).alias("from"),
-                        F.when(~open_bracket & F.lit(p < 1 - margin), F.col("high")[i]).alias("to"),
-                    )
+                    F.struct(F.lit(float(p)).alias("probability"), F.col("low")[i].alias("from"), F.col("high")[i].alias("to"))
                     for i, p in enumerate(probabilities)
                 ]
             )
         ),
     )
-    position = (F.col("n") - 1) * F.col("probability")
-    below = F.col("from").isNotNull() & (F.col("value") < F.col("from"))
+    counts = long.groupBy("metric", "value").agg(F.count("*").alias("rows"))
+    zone = F.when(F.col("value") < F.col("from"), -1).when(F.col("value") > F.col("to"), 1).otherwise(0)
     counted = (
-        long.join(F.broadcast(targets), "metric")
-        .filter(F.col("to").isNull() | (F.col("value") <= F.col("to")))
-        .withColumn("value", F.when(~below, F.col("value")))
-        .groupBy("metric", "probability", "n", "value")
-        .agg(F.count("*").alias("rows"))
+        counts.join(F.broadcast(targets), "metric")
+        .withColumn("zone", zone)
+        .groupBy("metric", "probability", "n", "zone", F.when(F.col("zone") == 0, F.col("value")).alias("inside"))
+        .agg(F.sum("rows").alias("rows"), F.min("value").alias("lowest"), F.max("value").alias("highest"))
     )
-    upto = Window.partitionBy("metric", "probability").orderBy(F.col("value").asc_nulls_first())
-    ranked = counted.withColumn("last", F.sum("rows").over(upto) - 1).filter(F.col("value").isNotNull())
+    upto = Window.partitionBy("metric", "probability").orderBy("zone", "inside")
+    ranked = counted.withColumn("last", F.sum("rows").over(upto) - 1).withColumn("first", F.col("last") - F.col("rows") + 1)
+    position = (F.col("n") - 1) * F.col("probability")
+
+    def value_at(rank: Column) -> Column:
+        """Value of a rank; NULL when it is out of the bracket and not next to it."""
+        known = (
+            F.when(F.col("zone") == 0, F.col("inside"))
+            .when((F.col("zone") < 0) & (rank == F.col("last")), F.col("highest"))
+            .when((F.col("zone") > 0) & (rank == F.col("first")), F.col("lowest"))
+        )
+        return F.max(F.when(rank.between(F.col("first"), F.col("last")), known))
+
     found = ranked.groupBy("metric", "probability", "n").agg(
-        F.min(F.when(F.col("last") >= F.floor(position), F.col("value"))).alias("lower"),
-        F.min(F.when(F.col("last") >= F.ceil(position), F.col("value"))).alias("upper"),
+        value_at(F.floor(position)).alias("lower"), value_at(F.ceil(position)).alias("upper")
     )
+    proven = F.col("lower").isNotNull() & F.col("upper").isNotNull()
+    between = F.col("lower") + (F.col("upper") - F.col("lower")) * (position - F.floor(position))
     return found.select(
         "metric",
         "probability",
         "n",
-        (F.col("lower") + (F.col("upper") - F.col("lower")) * (position - F.floor(position))).alias("quantile"),
+        F.when(proven, between).otherwise(F.raise_error(F.lit("a quantile lies outside its bracket"))).alias("quantile"),
     )
 
 

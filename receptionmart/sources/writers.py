@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,18 @@ def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
+def swap_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Replace a table by one that is written in full beside it; a write that fails leaves the old rows readable.
+
+    With ``path`` each version gets a folder of its own below it, and older ones stay until somebody removes them.
+    """
+    spark, version = df.sparkSession, uuid.uuid4().hex
+    fresh = f"{name}_{version}"
+    save_table(df, fresh, f"{path}/{version}" if path else None)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+
+
 def _write_text(spark: SparkSession, path: str, content: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

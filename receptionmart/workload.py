@@ -219,12 +219,7 @@ def stage_reviews(spark, sf_dir):
 
 
 def stage_checks(spark, sf_dir):
-    typed = staging.typed_reviews(raw_reviews(spark, sf_dir))
-    return typed.agg(
-        F.count("*").alias("n_rows"),
-        F.count_if(quality.bad_score(F.col("score"))).alias("bad_scores"),
-        F.count_if(F.col("pub_date").isNull()).alias("null_dates"),
-    )
+    return staging.review_report(staging.typed_reviews(raw_reviews(spark, sf_dir)))
 
 
 def raw_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,12 +384,8 @@ def key_checks(spark, sf_dir):
 
 # --- manifests --------------------------------------------------------------------------------------------
 
-# Tables whose columns have the same text form in other engines.
-HASHED = tuple(t for t in TABLES if t != "embeddings")
-
-
 def manifest(spark, sf_dir):
-    return m.table_manifest({t: table(spark, sf_dir, t) for t in HASHED}, "md5")
+    return m.table_manifest({t: table(spark, sf_dir, t) for t in TABLES}, "md5")
 
 
 def _entries(tables: dict[str, DataFrame]) -> DataFrame:
@@ -424,7 +415,7 @@ def file_hashes(spark, sf_dir):
 
 
 def source_profile(spark, sf_dir):
-    frames = [columns_of(table(spark, sf_dir, t), t).drop("nullable", "dtype") for t in TABLES]
+    frames = [columns_of(table(spark, sf_dir, t), t) for t in TABLES]
     counts = row_counts(spark, sf_dir).withColumnRenamed("tbl", "table_name")
     together = frames[0]
     for f in frames[1:]:

@@ -6,7 +6,7 @@ makes it part of a word, and ``_unmarked`` takes them off again.
 
 from __future__ import annotations
 
-from .workload import EXACT_SIZE, HASHED, HIGH_SCORE, TABLES, UNMAPPED_SIZE
+from .workload import EXACT_SIZE, HIGH_SCORE, TABLES, UNMAPPED_SIZE
 
 
 def _artist(key: str) -> str:
@@ -205,9 +205,23 @@ COLUMNS = {
 }
 
 
+# Arrays of numbers as whole numbers of 1 / 2^30.
+ARRAY_FORMS = {
+    "embedding": "array_to_string(list_transform(embedding, lambda x: coalesce(floor(x::double * 1073741824)::bigint::varchar, '-')), ',')"
+}
+# Names of types as the source profile lists them.
+DTYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz", "FLOAT[]": "array<float>"}
+
+
+def _dtype(table: str, column: str) -> str:
+    cases = " ".join(f"WHEN '{theirs}' THEN '{ours}'" for theirs, ours in DTYPES.items())
+    return f"(SELECT CASE any_value(typeof({column})) {cases} END FROM {table})"
+
+
 def _fingerprint(table: str, source: str, replaced: dict[str, str] | None = None) -> str:
     columns = COLUMNS[table].split()
-    parts = ", ".join(f"coalesce(({(replaced or {}).get(c, c)})::varchar, chr(0))" for c in columns)
+    forms = ARRAY_FORMS | (replaced or {})
+    parts = ", ".join(f"coalesce(({forms.get(c, c)})::varchar, chr(0))" for c in columns)
     hashed = f"('0x' || substr(md5(concat_ws(chr(31), {parts})), 1, 15))::bigint::hugeint"
     return (
         f"SELECT '{table}' AS table_name, count(*) AS n_rows, {len(columns)}::int AS n_columns, "
@@ -310,12 +324,12 @@ row_number() OVER (PARTITION BY p_name ORDER BY p_retailprice DESC, coalesce(p_s
     "short_tokens": r"""SELECT artist, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(lower(text), '\s+')) AS artist FROM conversations)
 WHERE artist <> '' AND length(artist) <= 2 AND artist NOT IN ('x', 'u2', 'm', 'bj', 'om', 'vv', 'xx') GROUP BY 1""",
     "key_checks": "SELECT p_name AS artist_norm, count(*) AS n FROM part GROUP BY 1 HAVING count(*) > 1",
-    "manifest": _all([_fingerprint(t, t) for t in HASHED]),
+    "manifest": _all([_fingerprint(t, t) for t in TABLES]),
     "manifest_drift": DRIFT,
     "manifest_totals": f"SELECT count(*) AS tables_exported, sum(n)::bigint AS rows_exported FROM ({_all([f'SELECT count(*) AS n FROM {t}' for t in TABLES])})",
     "source_profile": _all(
         [
-            f"SELECT '{t}' AS table_name, {i}::int AS position, '{c}' AS column_name, (SELECT count(*) FROM {t}) AS n_rows"
+            f"SELECT '{t}' AS table_name, {i}::int AS position, '{c}' AS column_name, {_dtype(t, c)} AS dtype, true AS nullable, (SELECT count(*) FROM {t}) AS n_rows"
             for t in TABLES
             for i, c in enumerate(COLUMNS[t].split())
         ]

@@ -327,3 +327,40 @@ def test_sources_without_artists_and_flags_with_decimals(spark):
     assert [tuple(r) for r in got] == [(1, 2004), (0, 1999), (None, None)]
     with pytest.raises(Exception, match="whole"):
         raw.select(numbers.whole_number(F.lit("1.5"), "tinyint")).collect()
+
+
+def test_staged_files(spark, tmp_path):
+    tracks = spark.createDataFrame([("nick cave & the bad seeds", "s", 1.0), ("the u2", "t", 2.0)], "Artist STRING, Track STRING, Stream DOUBLE")
+    paths = jobs.stage_files(raw_reviews(spark, GOOD, (2, "the u2", *GOOD[2:])), tracks, [], str(tmp_path))
+    assert tuple(paths) == jobs.STAGED
+    rows = {name: readers.read_csv(spark, path, multiline=True).count() for name, path in paths.items()}
+    assert rows["reviews"] == rows["tracks"] == 2 and rows["artist_map"] == rows["artist_universe"] > 0
+    scores = [float(r.score) for r in readers.read_csv(spark, paths["artist_map"]).collect()]
+    assert scores == sorted(scores, reverse=True)
+
+
+def test_drift_job(spark, tmp_path):
+    names(spark, ["a", "b"], "artist").createOrReplaceTempView("drifting")
+    writers.export_tables(spark, ["drifting"], str(tmp_path / "old"), "memory")
+    names(spark, ["a"], "artist").createOrReplaceTempView("drifting")
+    writers.export_tables(spark, ["drifting"], str(tmp_path / "new"), "memory")
+    old, new = (f"{tmp_path}/{version}/manifest.json" for version in ("old", "new"))
+    assert [r.status for r in jobs.check_drift(spark, old, old).collect()] == ["same"]
+    assert jobs.check_drift(spark, new, old).first().delta_rows == 1
+    with pytest.raises(DataQualityError, match="lost"):
+        jobs.check_drift(spark, old, new)
+
+
+def test_large_csv_is_read_in_parts(spark, tmp_path):
+    path = tmp_path / "large.csv"
+    path.write_text("artist,n\n" + "".join(f"a{i},{i}\n" for i in range(5000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        assert readers.read_csv(spark, str(path)).rdd.getNumPartitions() > 4
+        assert readers.read_csv(spark, str(path), multiline=True).rdd.getNumPartitions() == 1
+        assert readers.read_csv(spark, str(path), "artist STRING, n INT").count() == 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.minPartitionNum")

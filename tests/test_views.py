@@ -133,6 +133,19 @@ def test_quantiles_equal_sorted_interpolation(spark, monkeypatch):
     assert got[("y", 0.5)] == -got[("x", 0.5)]
 
 
+def test_quantiles_outside_the_bracket_fail(spark, monkeypatch):
+    monkeypatch.setattr(stats, "HALF_WIDTH", -500.0)
+    with pytest.raises(Exception, match="outside its bracket"):
+        exact_quantiles(spark.range(1000).select(F.col("id").alias("x")), ["x"], [0.5]).collect()
+
+
+def test_sums_refuse_further_places(spark):
+    df = spark.createDataFrame([(0.1234,), (0.0049,)], "x DOUBLE")
+    assert df.agg(Metric(4).mean(F.col("x"))).first()[0] == 0.06415
+    with pytest.raises(Exception, match="more decimal places"):
+        df.agg(Metric(2).mean(F.col("x"))).collect()
+
+
 def test_profile(spark):
     df = spark.createDataFrame([(1, 2.0), (2, None), (3, 4.0), (4, 9.0)], "i INT, d DOUBLE")
     got = {r.column_name: r for r in stats.profile(df, ["i", "d"]).collect()}
