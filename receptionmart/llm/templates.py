@@ -1,15 +1,18 @@
 """Benchmark passages in texts, also with other numbers, names and units.
 
 Texts and benchmark items become token sequences in which numbers, names and units are typed placeholders, while their
-values are kept as slots. Windows of ``window`` tokens are hashed; a window needs ``plain_share`` of plain words. A
-bitmap of a fixed size of all item windows goes to every task, so that only windows with a set bit leave the scan; the
-join on the whole hash settles them. Matches of a text and an item at one alignment are then taken together: they
-must cover ``least_words`` words of the item, or all of a shorter one, and slots must be renamed consistently: one value
-of the item is always the same value in the text, and the other way round.
+values are kept as slots. Every window of ``window`` tokens is hashed twice: as its words in lower case (literal), which
+neither case nor punctuation changes, and, if it has slots, with placeholders (template). A bitmap of a fixed size of all
+item windows goes to every task, so that only windows with a set bit leave the scan; the join on the whole hash settles
+them. Matches of a row and an item at one alignment are then taken together: they must cover ``least_words`` words of the
+item, or all of a shorter one. Literal matches always count. Template matches count unless they hold a value of the item
+that stands for two values in the text; two values of the item may become one. They need a ``seed`` among the matches of
+the alignment: a literal window, or one with ``plain_share`` of plain words; in items without such windows those with the
+most plain words are seeds. Templates without any plain word are numbers or names only and match literally only.
 
 Defined cases: null and empty texts match nothing; items of fewer than ``least_item`` tokens aren't searched, items
-shorter than a window are windows of their own; a text that holds an item several times, or occurs in several rows
-with one id, is one hit; a null id is an id of its own; empty tables give an empty result.
+shorter than a window are windows of their own; each row is a text of its own, whatever its id; a text that holds an item
+several times, or several rows with one id (a null id is an id of its own), are one hit; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -101,7 +104,7 @@ class Reader:
         return i
 
     def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(template hashes, kinds, token numbers) of the tokens of a text."""
+        """(word hashes, kinds, token numbers) of the tokens of a text."""
         if len(self.values) > CACHED_TOKENS:
             self.clear()
         known = self.numbers
@@ -121,33 +124,42 @@ class Reader:
         kind[(kind == NAME) & opened[:-1]] = WORD
         after_number = np.r_[False, kind[:-1] == NUM]
         kind[(kind == UNIT) & ~after_number] = WORD
-        for k, value in PLACE.items():
-            hashed[kind == k] = np.uint64(value)
         return hashed, kind, at
 
     def slots(self, kind: np.ndarray, at: np.ndarray, start: int, width: int) -> list[str]:
         return [self.values[at[i]] for i in range(start, start + width) if kind[i] != WORD]
 
 
-def window_hashes(hashed: np.ndarray, kind: np.ndarray, width: int, plain_share: float) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, start) of the windows with enough plain words."""
+def window_hashes(hashed: np.ndarray, width: int, start: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of the windows at ``start``, or of all."""
     n = len(hashed) - width + 1
-    if n < 1:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    total = np.full(n, width, np.uint64)
+    total = np.full(n if start is None else len(start), width, np.uint64)
     for k in range(width):
-        total = total * np.uint64(0x100000001B3) + hashed[k : k + n]
+        total = total * np.uint64(0x100000001B3) + (hashed[k : k + n] if start is None else hashed[start + k])
         total ^= total >> np.uint64(29)
+    return total
+
+
+def windows_of(words: np.ndarray, kind: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, whether literal, plain words) of all windows, and again of those with slots and plain words."""
+    n = len(words) - width + 1
+    if n < 1:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)
     plain = np.r_[0, np.cumsum(kind == WORD)]
-    start = np.flatnonzero(plain[width:] - plain[:n] >= plain_share * width)
-    return total[start], start
+    plain = plain[width:] - plain[:n]
+    start = np.flatnonzero((plain > 0) & (plain < width))
+    places = words.copy()
+    for k, value in PLACE.items():
+        places[kind == k] = np.uint64(value)
+    hashes = np.r_[window_hashes(words, width), window_hashes(places, width, start)]
+    return hashes, np.r_[np.arange(n), start], np.arange(n + len(start)) < n, np.r_[plain, plain[start]]
 
 
-WINDOWS = "id bigint, hash bigint, place int, width int, tokens int, slots array<string>"
+WINDOWS = "id bigint, row binary, hash bigint, place int, width int, tokens int, literal boolean, seed boolean, slots array<string>"
 
 
 def _windows(rule: Rule, widths: list[int] | None, bitmap):
-    """Function of mapInArrow; ``widths`` None: each text has its own (items)."""
+    """Function of mapInArrow; ``widths`` None: each text has its own (items). ``row`` tells texts apart, by content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
@@ -155,18 +167,27 @@ def _windows(rule: Rule, widths: list[int] | None, bitmap):
         for batch, texts in text_batches(batches):
             rows: list[tuple] = []
             for id_, text in zip(batch.column("id").to_pylist(), texts):
-                hashed, kind, at = reader.read(text)
-                if widths is None and len(hashed) < rule.least_item:
+                words, kind, at = reader.read(text)
+                if widths is None and len(words) < rule.least_item:
                     continue
-                for width in widths or [min(rule.window, len(hashed))]:
-                    found, start = window_hashes(hashed, kind, width, rule.plain_share)
-                    if bits is not None:
+                row = None
+                for width in widths or [min(rule.window, len(words))]:
+                    found, start, literal, plain = windows_of(words, kind, width)
+                    seed = literal | (plain >= rule.plain_share * width)
+                    if bits is None:
+                        thin = plain[~literal]
+                        if len(thin) and not (plain >= rule.plain_share * width).any():
+                            seed |= plain == thin.max()
+                    else:
                         place = (found % np.uint64(rule.filter_bits)).astype(np.int64)
                         hit = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
-                        found, start = found[hit], start[hit]
-                    for h, s in zip(found.view(np.int64).tolist(), start.tolist()):
-                        rows.append((id_, h, s, width, len(hashed), reader.slots(kind, at, s, width)))
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string())]
+                        found, start, literal, seed = found[hit], start[hit], literal[hit], seed[hit]
+                    if row is None and len(found):
+                        row = xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+                    for h, s, own, first in zip(found.view(np.int64).tolist(), start.tolist(), literal.tolist(), seed.tolist()):
+                        slots = None if own and bits is not None else reader.slots(kind, at, s, width)
+                        rows.append((id_, row, h, s, width, len(words), own, first, slots))
+            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.list_(pa.string())]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [p.split()[0] for p in WINDOWS.split(", ")])
 
@@ -194,25 +215,38 @@ def find_leaks(
     bitmap = spark.sparkContext.broadcast(bits)
     texts = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     found = texts.mapInArrow(_windows(rule, widths or [rule.window], bitmap), WINDOWS)
-    pairs = found.alias("d").join(wanted.alias("w"), ["hash", "width"]).select(
+    item_slots = F.col("w.slots")
+    pairs = found.alias("d").join(wanted.alias("w"), ["hash", "width", "literal"]).select(
         F.col("d.id").alias("doc_id"),
+        F.col("d.row").alias("row"),
         F.col("w.id").alias("item_id"),
+        F.col("w.row").alias("item_row"),
         (F.col("d.place") - F.col("w.place")).alias("shift"),
         F.col("w.place").alias("place"),
         "width",
+        "literal",
+        F.col("w.seed").alias("seed"),
         F.col("w.tokens").alias("tokens"),
-        F.arrays_zip(F.col("w.slots").alias("item"), F.col("d.slots").alias("doc")).alias("slots"),
+        F.arrays_zip(item_slots.alias("item"), F.when(F.col("literal"), item_slots).otherwise(F.col("d.slots")).alias("doc")).alias("slots"),
     )
-    # A text and an item at one alignment have at most as many windows as the item.
-    taken = pairs.groupBy("doc_id", "item_id", "shift", "width", "tokens").agg(
-        F.sort_array(F.collect_set("place")).alias("places"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")
+    # A row and an item at one alignment have at most twice as many windows as the item.
+    taken = pairs.groupBy("doc_id", "row", "item_id", "item_row", "shift", "width", "tokens").agg(
+        F.collect_set(F.struct("place", "literal", "slots")).alias("found"), F.max("seed").alias("seeded")
     )
+    values = F.array_distinct(F.flatten("found.slots"))  # an item's value twice: it stands for several values
+    several = F.array_distinct(F.filter("sides", lambda v, i: F.array_position("sides", v) <= i))
+    counted = F.filter("found", lambda w: w["literal"] | (F.col("seeded") & ~F.arrays_overlap(w["slots"]["item"], F.col("several"))))
     gaps = F.transform("places", lambda p, i: F.when(i == 0, F.col("width")).otherwise(F.least(F.col("width"), p - F.element_at("places", i))))
     words = F.aggregate(gaps, F.lit(0), lambda a, x: a + x)
-    n_item, n_doc = (F.size(F.array_distinct(F.col(f"slots.{side}"))) for side in ("item", "doc"))
     return (
-        taken.withColumn("words", words)
-        .filter((F.col("words") >= F.least(F.lit(rule.least_words), F.col("tokens"))) & (F.size("slots") == n_item) & (F.size("slots") == n_doc))
+        taken.withColumn("values", values)
+        .withColumn("sides", F.col("values.item"))
+        .withColumn("several", several)
+        .withColumn("counted", counted)
+        .withColumn("places", F.array_sort(F.array_distinct("counted.place")))
+        .withColumn("slots", F.flatten("counted.slots"))
+        .withColumn("words", words)
+        .filter(F.col("words") >= F.least(F.lit(rule.least_words), F.col("tokens")))
         .groupBy("doc_id", "item_id")
         .agg(
             F.max(
