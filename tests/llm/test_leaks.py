@@ -21,3 +21,10 @@ def test_windows_full_of_slots(spark):
     got = leaks(spark, ["So. " + DENSE, SHORT, other, SHORT.replace("5", "6"), "5 6 7 8 9 10 11 12", "1 2 3 4 5 6 7 8"], [DENSE, SHORT, "5 6 7 8 9 10 11 12"])
     assert {k: v for k, v in got.items() if k[1] != 1} == {(0, 0): (14, True), (2, 0): (14, False), (4, 2): (8, True)}
     assert got[1, 1] == (9, True) and got[3, 1] == (9, False)
+
+
+def test_case_and_punctuation(spark):
+    bare = NAMES.replace(".", "")
+    texts = [NAMES, NAMES.lower(), NAMES.upper(), bare, "note - " + NAMES, "see 12) " + SHORT.lower(), "and " + SHORT, SHORT.upper()]
+    got = leaks(spark, texts, [NAMES, SHORT])
+    assert got == {(i, 0): (18, True) for i in range(5)} | {(i, 1): (9, True) for i in range(5, 8)}
