@@ -28,3 +28,23 @@ def test_case_and_punctuation(spark):
     texts = [NAMES, NAMES.lower(), NAMES.upper(), bare, "note - " + NAMES, "see 12) " + SHORT.lower(), "and " + SHORT, SHORT.upper()]
     got = leaks(spark, texts, [NAMES, SHORT])
     assert got == {(i, 0): (18, True) for i in range(5)} | {(i, 1): (9, True) for i in range(5, 8)}
+
+
+def test_changed_values_and_joined_values(spark):
+    last = LONG.replace("until 12", "until 13")
+    joined = TWO.replace("3 red", "4 red").replace("5 white", "4 white")
+    both = LONG.replace("12 green", "14 green").replace("until 12", "until 13")
+    got = leaks(spark, [last, joined, both], [LONG, TWO])
+    n = len(LONG.split())
+    assert got == {(0, 0): (n - 3, True), (1, 1): (len(TWO.split()), False), (2, 0): (n - 7, True)}
+
+
+def test_rows_are_texts_of_their_own(spark):
+    a, b = (TWO.replace("3 red", f"{n} red").replace("5 white", f"{n + 1} white") for n in (20, 30))
+    n = len(TWO.split())
+    rows = [(None, a), (None, b), (7, TWO), (7, b), (7, b)]
+    assert leaks(spark, rows, [TWO]) == {(None, 0): (n, False), (7, 0): (n, True)}
+    # Two halves of an item in two rows with one id are no copy.
+    words = TWO.split()
+    halves = [(i, " ".join(part)) for i in (None, 7) for part in (words[:9] + ["x"] * 9, ["x"] * 9 + words[9:])]
+    assert leaks(spark, halves, [TWO]) == {}
