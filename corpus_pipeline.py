@@ -2,6 +2,9 @@
 
 Stages: toxic documents go; lines of ten or more documents go; one document of each group of near duplicates stays (the
 one with the smallest id); documents that hold benchmark passages go; what is left is packed into sequences.
+
+Each row is a document: copies and leaks are dropped by row, so null and repeated ids neither save nor drop others. Rows
+without words (null, empty or blank texts) are no copies of each other and stay.
 """
 
 from __future__ import annotations
@@ -27,16 +30,28 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return out.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*COLUMNS)
 
 
+def with_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with a stored row id, since ids may be null or repeated."""
+    return materialize(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class stays, and documents without words."""
-    found = chosen_path.near_duplicates(docs)
-    gone = materialize(found.filter("doc_id <> class_id").select("doc_id"))
-    return anti_join(docs.select(*COLUMNS), gone, "doc_id").select(*COLUMNS)
+    """One row of each class stays, the one with the smallest id (null ids last, then any one), and all rows without words."""
+    rows = with_rows(docs)
+    found = chosen_path.near_duplicates(rows, id_col="_row").select(F.col("doc_id").alias("_row"), "class_id")
+    worded = rows.filter(F.col("text").rlike(r"[^\x09-\x0D\x20]")).select("_row", "doc_id")
+    found = materialize(found.join(worded, "_row"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")
+    first = found.groupBy("class_id").agg(F.min(order).alias("first")).select(F.col("first._row").alias("_row"))
+    gone = materialize(found.join(first, "_row", "left_anti").select("_row"))
+    return anti_join(rows, gone, "_row").select(*COLUMNS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    hits = materialize(templates.find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id"))
-    return anti_join(docs.select(*COLUMNS), hits, "doc_id").select(*COLUMNS)
+    """Rows that hold no benchmark passage, whatever their ids."""
+    rows = with_rows(docs)
+    hits = templates.find_leaks(rows, table(spark, sf_dir, "benchmark"), id_col="_row").select(F.col("doc_id").alias("_row"))
+    return anti_join(rows, materialize(hits), "_row").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
