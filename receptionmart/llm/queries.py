@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chosen_path, licenses, linededup, packing, pii, repetition, ring, templates, toxicity, warc
+from . import (
+    chosen_path, collocations, hard_negatives, licenses, linededup, packing, pii, repetition, reputation, ring, templates, toxicity, warc
+)
 from .common import materialize, table
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
@@ -92,11 +94,35 @@ def op10_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+# The rules of the query: verdict, host and path.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op11_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes are the labels of the pages' ids: low quality or toxic is bad."""
+    labels = table(spark, sf_dir, "labels")
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), F.expr("quality = 0 OR toxic = 1").alias("bad"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return reputation.judge_urls(pages, outcomes, reputation.rules_frame(spark, URL_RULES)).drop("rate", "lower")
+
+
+def op12_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives.mine_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+    return found.drop("positive_rank")
+
+
+def op13_itemset_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_repetition, op2_vector_packing, op3_transactions, op4_bounded_ring, op5_two_bloom_lines, op6_license_sentences,
-        op7_chosen_path_join, op8_weak_supervision, op9_template_leaks, op10_ftrl_toxicity,
+        op7_chosen_path_join, op8_weak_supervision, op9_template_leaks, op10_ftrl_toxicity, op11_host_reputation,
+        op12_threshold_negatives, op13_itemset_phrases,
     )
 }
 
@@ -171,11 +197,86 @@ FROM hit a JOIN d USING (rid)
 WHERE NOT EXISTS (SELECT 1 FROM hit b WHERE b.rid = a.rid AND b.n > a.n AND b.k < a.k + a.n AND a.k < b.k + b.n)"""
 
 
+def _hosts_sql(rule: reputation.Rule = reputation.Rule()) -> str:
+    def level(name: str, parent: str, keys: str) -> str:
+        """Rates of a level: the size of the prior from the scatter around the parents' rates, then the shrunk rates."""
+        return f"""
+{name}_prior AS (SELECT 1 / least(greatest(coalesce(sum(power(bad - n * mean, 2) - n * (mean * (1 - mean))) / nullif(sum(n * (n - 1) * (mean * (1 - mean))), 0),
+                 {rule.most_spread}), {rule.least_spread}), {rule.most_spread}) - 1 AS prior FROM {parent}),
+{name}_rate AS (SELECT {keys}, (mean * prior + bad) / (prior + n) AS rate, prior + n AS size FROM {parent}, {name}_prior)"""
+
+    several = ", ".join(f"'{s}'" for s in reputation.SUFFIXES)
+    given = ", ".join(f"('{v}', '{r}')" for v, r in URL_RULES)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+WITH rules AS (SELECT v, r, regexp_extract(r, '^[^/]*') AS rh, regexp_replace(r, '^[^/]*', '') AS rp FROM (VALUES {given}) x(v, r)),
+u AS (SELECT row_number() OVER () AS rid, page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{upper}', '{lower}') AS host,
+             coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+hit AS (SELECT rid, v, r FROM u JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+        QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length(r) DESC, length(rh) DESC, v DESC) = 1),
+h AS (SELECT host, count(*) FILTER (bad IS NOT NULL) AS n, count(*) FILTER (bad) AS bad
+      FROM u LEFT JOIN (SELECT doc_id, quality = 0 OR toxic = 1 AS bad FROM labels) l ON doc_id = page_id GROUP BY host),
+named AS (SELECT host, regexp_replace(regexp_replace(host, '^.*@', ''), '[.]?(:[0-9]*)?$', '') AS site, n, bad FROM h),
+s AS (SELECT site, string_split(site, '.') AS parts, sum(n) AS n, sum(bad) AS bad FROM named WHERE site <> '' GROUP BY site),
+t AS (SELECT *, regexp_matches(site, '^([0-9]+([.][0-9]+){{3}}|\[.*\])$') AS address, array_to_string(parts[-2:], '.') IN ({several}) AS two FROM s),
+sites AS (SELECT site, n, bad, CASE WHEN address THEN site ELSE array_to_string(parts[(CASE WHEN two THEN -2 ELSE -1 END):], '.') END AS suffix,
+                 CASE WHEN address THEN site ELSE array_to_string(parts[(CASE WHEN two THEN -3 ELSE -2 END):], '.') END AS domain FROM t),
+every AS (SELECT coalesce(sum(n), 0) AS n, (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS rate FROM sites),
+tops AS (SELECT suffix, sum(sites.n) AS n, sum(bad) AS bad, any_value(every.rate) AS mean FROM sites, every GROUP BY suffix), {level("top", "tops", "suffix")},
+domains AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad, any_value(rate) AS mean FROM sites JOIN top_rate USING (suffix) GROUP BY suffix, domain),
+{level("domain", "domains", "suffix, domain")},
+low AS (SELECT site, n, bad, rate AS mean FROM sites JOIN domain_rate USING (suffix, domain)), {level("site", "low", "site")},
+judged AS (SELECT host, coalesce(s.rate, every.rate) AS rate, coalesce(s.size, every.n + 2) AS size, every.n AS n
+           FROM named LEFT JOIN site_rate s USING (site) CROSS JOIN every)
+SELECT page_id, host, path, r AS rule,
+       coalesce(v, CASE WHEN n > 0 AND rate - {rule.deviations} * sqrt(rate * (1 - rate) / (size + 1)) > {rule.most_bad} THEN 'block' ELSE 'allow' END) AS verdict
+FROM u LEFT JOIN hit USING (rid) JOIN judged USING (host)"""
+
+
+def _negatives_sql(rule: hard_negatives.Rule = hard_negatives.Rule()) -> str:
+    return f"""
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor({rule.scale} * x::double)) AS q
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+s AS (SELECT a.rid AS anchor, a.vec_id AS anchor_id, b.rid, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::bigint AS score
+      FROM v a JOIN v b ON a.rid <> b.rid WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, rid) <= {rule.positives}),
+n AS (SELECT anchor, p.anchor_id, p.rid AS positive, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score, s.rid
+      FROM p JOIN s USING (anchor) WHERE NOT s.same AND {rule.low_percent} * p.score <= 100 * s.score AND 100 * s.score <= {rule.high_percent} * p.score)
+SELECT anchor_id, positive_id, row_number() OVER w::int AS rank, negative_id, positive_score, negative_score FROM n
+WINDOW w AS (PARTITION BY anchor, positive ORDER BY negative_score DESC, negative_id, rid) QUALIFY row_number() OVER w <= {rule.negatives}"""
+
+
+def _phrases_sql(rule: collocations.Rule = collocations.Rule()) -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    sizes = ", ".join(f"({k})" for k in range(1, rule.longest + 1))
+    return rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{lower}'), '[.,;:!?
+-]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM p),
+g AS (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM w CROSS JOIN (VALUES {sizes}) t(k)),
+c AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a FROM g GROUP BY ALL),
+f AS (SELECT * FROM c WHERE a >= {rule.least_count}),
+n AS (SELECT lang, sum(a) AS n FROM c WHERE k = 1 GROUP BY lang),
+held AS (SELECT DISTINCT x.lang, x.phrase FROM f x JOIN f y ON x.lang = y.lang AND y.k > x.k AND 100 * y.a >= {rule.contained_percent} * x.a
+         AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' ') WHERE x.k > 1),
+parts AS (SELECT lang, phrase, a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS j FROM f ANTI JOIN held USING (lang, phrase) WHERE k > 1),
+cuts AS (SELECT s.lang, s.phrase, s.a, j, l.a AS l, r.a AS r, n.n, (1000::hugeint * s.a::hugeint * n.n::hugeint) // (l.a::hugeint * r.a::hugeint) AS score
+         FROM parts s JOIN f l ON l.lang = s.lang AND l.phrase = array_to_string(w[:j], ' ')
+         JOIN f r ON r.lang = s.lang AND r.phrase = array_to_string(w[j + 1:], ' ') JOIN n ON n.lang = s.lang),
+low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER o::bigint AS rank, phrase, a::bigint AS a, l::bigint AS l, r::bigint AS r, n::bigint AS n, score::bigint AS score FROM low
+WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER o <= {rule.top}"""
+
+
 ORACLES = {
     "op1_suffix_repetition": _repetition_sql(),
     "op3_transactions": _transactions_sql(),
     "op5_two_bloom_lines": _lines_sql(),
     "op6_license_sentences": _licenses_sql(),
+    "op11_host_reputation": _hosts_sql(),
+    "op12_threshold_negatives": _negatives_sql(),
+    "op13_itemset_phrases": _phrases_sql(),
 }
 # Modules whose functions run in Python workers.
-WORKER_MODULES = (chosen_path, licenses, linededup, packing, repetition, templates, toxicity, warc)
+WORKER_MODULES = (chosen_path, collocations, hard_negatives, licenses, linededup, packing, repetition, templates, toxicity, warc)
