@@ -1,11 +1,11 @@
 """Phrase collocations by dynamic itemset counting.
 
-Texts are dealt into shards that are scanned in turn, round and round. The first round counts words. A longer phrase is
-counted from the scan after that in which both its subphrases (without its last and without its first word) have reached the
-threshold, in whatever scan that is, so several lengths are counted in one scan. A phrase is complete after one full round
-from its own start. The scans end when no phrase is open.
+Texts are numbered once, word by word, in chunks that are dealt into shards. Shards are scanned in turn, round and round. The
+first round counts words. A longer phrase is counted from the scan after that in which both its subphrases (without its last
+and without its first word) have reached the threshold, in whatever scan that is, so several lengths are counted in one scan.
+A phrase is complete after one full round from its own start. The scans end when no phrase is open.
 
-A scan counts the open phrases of its shard by word numbers within each task and writes the counts of the shard as a log. A
+A scan counts the open phrases of its shard by word numbers within each chunk and writes the counts of the shard as a log. A
 phrase that reaches the threshold in a round has a shard with its share of the threshold, so sums over the log are taken of
 the phrases with such a shard only. Which phrases have reached the threshold, and whether lately, goes to the tasks as two
 bit maps of a fixed size; a false bit only lets counts into the log of a phrase that never opened, and what is summed starts
@@ -36,6 +36,7 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 FOLD = bytes.maketrans(ENDS + b"\t" + bytes(range(65, 91)), b"." * len(ENDS) + b" " + bytes(range(97, 123)))
 KEYS = ["lang", "size", "phrase"]
 REACHED, LOG = "lang string, size int, phrase string, start int", "lang string, size int, phrase string, n bigint"
+CHUNK = "lang string, listed array<string>, hashes binary, words binary, over int, shard int"
 #: Phrases that may be broadcast; more are joined by a shuffle.
 FEW = BROADCAST_ROWS // 2
 
@@ -49,9 +50,9 @@ class Rule:
     top: int = 2000
     shards: int = 4
     #: Bits of each map; both go to every task.
-    map_bits: int = 1 << 25
-    #: Words that a task counts at a time.
-    words_held: int = 4_000_000
+    map_bits: int = 1 << 24
+    #: Words of a chunk, which is counted at a time.
+    words_held: int = 1_000_000
 
 
 class Numbers(dict):
@@ -97,7 +98,7 @@ def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 class Held:
-    """Word numbers of one language that are counted together; -1 stands between pieces."""
+    """Words of one language that are numbered together; -1 stands between pieces, other numbers count from 1."""
 
     def __init__(self):
         self.numbers = Numbers({b".": -1})
@@ -105,53 +106,87 @@ class Held:
         self.size = 0
 
     def take(self, words: list[bytes]) -> None:
-        # The full stop has the number -1, and counts when numbers are given out.
-        found = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
-        self.parts += [found, np.array([-1])]
+        self.parts += [np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)), np.array([-1], np.int32)]
         self.size += len(words) + 1
 
-    def count(self, lang: str, with_words: bool, maps, longest: int) -> Iterator[pa.RecordBatch]:
-        """Rows of (lang, size, phrase, count) of the words, if asked for, and of the open phrases."""
-        words = np.concatenate(self.parts)
+    def row(self, lang: str, over: int, shard: int) -> pa.RecordBatch:
         listed = list(self.numbers)
-        text = pa.array([w.decode("utf-8", "surrogatepass") for w in listed], pa.string())
-        if with_words:
-            counts = np.bincount(words[words > 0], minlength=len(listed))
-            yield _rows(lang, 1, text.slice(1), counts[1:])
-        if maps is None:
-            return
-        reached, late = maps
-        hashes = _word_hashes(lang, listed)
-        usable = _has(reached, hashes)
-        usable[0] = False
-        fresh = _has(late, hashes)
-        # Starts of phrases of the length at hand that have reached the threshold, with their hashes and whether lately.
-        words = np.append(words, -1)
-        start = np.flatnonzero(usable[words] & (words > 0))
-        head, new = hashes[words[start]], fresh[words[start]]
-        for size in range(2, longest + 1):
-            # Both subphrases: this one, and the one that starts a word later.
-            follows = np.flatnonzero(start[1:] == start[:-1] + 1)
-            if not len(follows):
-                return
-            begin = start[follows]
-            key = words[begin]
+        columns = [
+            pa.array([lang], pa.string()),
+            pa.array([[w.decode("utf-8", "surrogatepass") for w in listed]], pa.list_(pa.string())),
+            pa.array([_word_hashes(lang, listed).tobytes()], pa.binary()),
+            pa.array([np.concatenate(self.parts).tobytes()], pa.binary()),
+            pa.array([over], pa.int32()),
+            pa.array([shard], pa.int32()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in CHUNK.split(", ")])
+
+
+def _numbered(texts: DataFrame, rule: Rule) -> DataFrame:
+    """Chunks of about ``words_held`` words as numbers, dealt to shards in turn.
+
+    A longer text is cut; the words of the next chunk that phrases over the cut need stand at the end too (``over``).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        context = TaskContext.get()
+        held: dict[str, Held] = {}
+        chunk = context.partitionId() if context else 0
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                words = words_of(text)
+                for start in range(0, len(words) - rule.words_held, rule.words_held):
+                    part = Held()
+                    end = start + rule.words_held
+                    part.take(words[start : end + rule.longest - 1])
+                    yield part.row(lang, part.size - rule.words_held, chunk % rule.shards)
+                    chunk += 1
+                held.setdefault(lang, Held()).take(words[max(0, -(-len(words) // rule.words_held) - 1) * rule.words_held :])
+                if sum(x.size for x in held.values()) >= rule.words_held:
+                    yield from (own.row(key, 0, chunk % rule.shards) for key, own in held.items())
+                    held.clear()
+                    chunk += 1
+        yield from (own.row(key, 0, chunk % rule.shards) for key, own in held.items())
+
+    return texts.mapInArrow(run, CHUNK)
+
+
+def _counts(lang: str, text: pa.Array, hashes: np.ndarray, words: np.ndarray, limit: int, with_words: bool, maps, longest: int) -> Iterator[pa.RecordBatch]:
+    """Rows of (lang, size, phrase, count) of the words, if asked for, and of the open phrases that begin before ``limit``."""
+    if with_words:
+        own = words[:limit]
+        yield _rows(lang, 1, text.slice(1), np.bincount(own[own > 0], minlength=len(text))[1:])
+    if maps is None:
+        return
+    reached, late = maps
+    usable, fresh = _has(reached, hashes), _has(late, hashes)
+    usable[0] = False
+    # Starts of phrases of the length at hand that have reached the threshold, with their hashes and whether lately.
+    start = np.flatnonzero(usable[words] & (words > 0))
+    head, new = hashes[words[start]], fresh[words[start]]
+    for size in range(2, longest + 1):
+        # Both subphrases: this one, and the one that starts a word later.
+        follows = np.flatnonzero(start[1:] == start[:-1] + 1)
+        begin = start[follows]
+        is_open = (new[follows] | new[follows + 1]) & (begin < limit)
+        at = begin[is_open]
+        if len(at):
+            key = words[at].astype(np.int64)
             for k in range(1, size):
                 if k > 1:
                     key = np.unique(key, return_inverse=True)[1]
-                key = key * len(listed) + words[begin + k]
-            is_open = new[follows] | new[follows + 1]
-            if is_open.any():
-                _, first, counts = np.unique(key[is_open], return_index=True, return_counts=True)
-                at = begin[is_open][first]
-                columns = [text.take(pa.array(words[at + k])) for k in range(size)]
-                yield _rows(lang, size, pc.binary_join_element_wise(*columns, " "), counts)
-            if size == longest:
-                return
-            total = _mixed(head[follows], hashes[words[begin + size - 1]])
-            kept = _has(reached, total)
-            start, head = begin[kept], total[kept]
-            new = _has(late, head)
+                key = key * len(text) + words[at + k]
+            _, first, counts = np.unique(key, return_index=True, return_counts=True)
+            columns = [text.take(pa.array(words[at[first] + k])) for k in range(size)]
+            yield _rows(lang, size, pc.binary_join_element_wise(*columns, " "), counts)
+        if size == longest or not len(begin):
+            return
+        total = _mixed(head[follows], hashes[words[begin + size - 1]])
+        kept = _has(reached, total)
+        start, head = begin[kept], total[kept]
+        new = _has(late, head)
 
 
 def _rows(lang: str, size: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
@@ -160,52 +195,19 @@ def _rows(lang: str, size: int, phrases: pa.Array, counts: np.ndarray) -> pa.Rec
     return pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
 
 
-def _scan(shard: DataFrame, rule: Rule, with_words: bool, maps) -> DataFrame:
-    """Counts of the open phrases of a shard, as far as tasks have them."""
+def _scan(chunks: DataFrame, rule: Rule, with_words: bool, maps) -> DataFrame:
+    """Counts of the open phrases of a shard, as far as chunks have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = tuple(np.frombuffer(m, np.uint8) for m in maps.value) if maps is not None else None
-        held: dict[str, Held] = {}
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for lang, own in held.items():
-                if own.size:
-                    yield from own.count(lang, with_words, bits, rule.longest)
-            held.clear()
-
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                words = words_of(text)
-                own = held.setdefault(lang, Held())
-                if len(words) <= rule.words_held:
-                    own.take(words)
-                else:
-                    yield from _count_long(words, lang, with_words, bits, rule)
-                if sum(x.size for x in held.values()) >= rule.words_held:
-                    yield from out()
-        yield from out()
-
-    return shard.mapInArrow(run, LOG)
+            for i in range(batch.num_rows):
+                lang, hashes, words, over = (batch.column(c)[i].as_py() for c in ("lang", "hashes", "words", "over"))
+                words = np.frombuffer(words, np.int32)
+                text = batch.column("listed")[i].values
+                yield from _counts(lang, text, np.frombuffer(hashes, np.uint64), words, len(words) - over, with_words, bits, rule.longest)
 
-
-def _count_long(words: list[bytes], lang: str, with_words: bool, bits, rule: Rule) -> Iterator[pa.RecordBatch]:
-    """A text that is counted in parts; a phrase over a border belongs to the part in which it begins.
-
-    Parts end between pieces. In a piece longer than a part, the words over the border are counted again and taken off.
-    """
-    start = 0
-    while start < len(words):
-        end = min(start + rule.words_held, len(words))
-        own = Held()
-        own.take(words[start : min(end + rule.longest - 1, len(words))])
-        yield from own.count(lang, with_words, bits, rule.longest)
-        over = words[end : end + rule.longest - 1]
-        if over:
-            again = Held()
-            again.take(over)
-            for batch in again.count(lang, with_words, bits, rule.longest):
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pc.negate(batch.column("n"))], batch.schema.names)
-        start = end
+    return chunks.mapInArrow(run, LOG)
 
 
 def _hashed(reached: DataFrame) -> DataFrame:
@@ -265,16 +267,14 @@ def count_phrases(df: DataFrame, rule: Rule = Rule(), text_col: str = "text", la
     spark = df.sparkSession
     folder = new_folder(spark, "phrases")
     texts = df.select(
-        F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-        F.pmod(F.monotonically_increasing_id(), F.lit(rule.shards)).cast("int").alias("shard"),
+        F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
-    texts.write.partitionBy("shard").parquet(f"{folder}/texts")
-    shards = spark.read.schema("lang string, text string, shard int").parquet(f"{folder}/texts")
+    _numbered(texts, rule).write.partitionBy("shard").parquet(f"{folder}/chunks")
+    chunks = spark.read.schema(CHUNK).parquet(f"{folder}/chunks")
 
     step, open_until, maps, n_reached = 0, rule.shards, None, 0
     while step < open_until:
-        part = _scan(shards.filter(F.col("shard") == step % rule.shards).select("lang", "text"), rule, step < rule.shards, maps)
+        part = _scan(chunks.filter(F.col("shard") == step % rule.shards), rule, step < rule.shards, maps)
         part.groupBy(*KEYS).agg(F.sum("n").alias("n")).filter("n > 0").write.parquet(f"{folder}/log/step={step}")
         log = _stored(spark, f"{folder}/log", range(max(0, step - rule.shards + 1), step + 1), LOG)
         reached = _stored(spark, f"{folder}/reached", range(step), f"{REACHED}, hash bigint")

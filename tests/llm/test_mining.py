@@ -200,7 +200,7 @@ def phrase_texts():
     "rule",
     [
         collocations.Rule(least_count=12, shards=3, top=25),
-        collocations.Rule(least_count=4, shards=2, map_bits=1 << 15, words_held=50, contained_percent=60),
+        collocations.Rule(least_count=4, shards=2, map_bits=1 << 15, words_held=20, contained_percent=60),
     ],
 )
 def test_phrases_equal_plain_counts(spark, rule):
