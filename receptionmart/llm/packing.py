@@ -20,6 +20,7 @@ import types
 import unicodedata
 import zlib
 from array import array
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,8 +36,10 @@ SCHEMA = (
     "offset bigint, loss_tokens bigint, sequence_tokens bigint"
 )
 NAMES = [part.split()[0] for part in SCHEMA.split(", ")]
-# Entries of the caches of a Python worker, of words and of chunks.
-CACHED_WORDS, CACHED_CHUNKS = 400_000, 200_000
+# Entries of the caches of a Python worker, of words and of other chunks.
+CACHED_WORDS, CACHED_CHUNKS = 400_000, 50_000
+# Characters of texts that are encoded together, unless one has more.
+GROUP_CHARS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -59,28 +62,26 @@ WORD = re.compile(rf"[{LATIN}]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\s0-9{LATIN}]+")
 
 
 def _byte_signs() -> dict[int, int]:
-    """Byte-level vocabularies write bytes without a visible sign as code points from 256 on."""
+    """Byte-level vocabularies write bytes without a visible sign as code points from 256 on; here the blank stays."""
     seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in seen]
-    return {b: 256 + i for i, b in enumerate(hidden)}
+    return {b: 256 + i for i, b in enumerate(hidden) if b != 32}
 
 
 class Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit integers.
 
-    The vocabulary drops white space and never joins across it, so a text is the sum of what stands between its
-    spaces, and each of these chunks is encoded once while the cache lasts. Chunks of plain Latin texts are split into
-    words here, and only new words go to the model; chunks of other texts go through the whole tokenizer.
+    The vocabulary drops white space and never joins across it or across words. Plain Latin texts are split into its words
+    here, other texts into the chunks between spaces; what was met before is looked up, and only new words and chunks go
+    to the tokenizer.
     """
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.signs = self.tokenizer.model, _byte_signs()
-        self.words: dict[str, bytes] = {}
-        self.plain: dict[str, bytes] = {}
-        self.other: dict[str, bytes] = {}
+        self.signs = _byte_signs()
+        self.words, self.chunks = Cache(CACHED_WORDS), Cache(CACHED_CHUNKS)
         self.end = np.array([end_id], "<u4").tobytes()
 
     @classmethod
@@ -93,32 +94,56 @@ class Encoder:
         return found[path, end_id]
 
     def encode(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
-        if PLAIN.fullmatch(text) and "<|" not in text and unicodedata.is_normalized("NFC", text):
-            return _join(chunks, self.plain, self._plain_ids, CACHED_CHUNKS) + self.end
-        return _join(chunks, self.other, self._whole_ids, CACHED_CHUNKS) + self.end
-
-    def _plain_ids(self, chunks: list[str]) -> list[bytes]:
-        return [_join(WORD.findall(c.lower()), self.words, self._model_ids, CACHED_WORDS) for c in chunks]
-
-    def _model_ids(self, words: list[str]) -> list[bytes]:
-        signs = [w.encode().decode("latin-1").translate(self.signs) for w in words]
-        return [array("I", [t.id for t in self.model.tokenize(s)]).tobytes() for s in signs]
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text with the end; texts are taken together, up to GROUP_CHARS, so that new chunks are encoded at once."""
+        out: list[bytes] = []
+        start = chars = 0
+        for i, text in enumerate(texts):
+            chars += len(text)
+            if chars >= GROUP_CHARS or i + 1 == len(texts):
+                out += self._group(texts[start : i + 1])
+                start, chars = i + 1, 0
+        return out
+
+    def _group(self, texts: list[str]) -> list[bytes]:
+        plain = [bool(PLAIN.fullmatch(t)) and "<|" not in t and unicodedata.is_normalized("NFC", t) for t in texts]
+        lists = [WORD.findall(t.lower()) if p else t.replace("\n", " ").split(" ") for t, p in zip(texts, plain)]
+        words = self.words.holding({w for listed, p in zip(lists, plain) if p for w in listed}, self._word_ids)
+        chunks = self.chunks.holding({c for listed, p in zip(lists, plain) if not p for c in listed}, self._whole_ids)
+        return [b"".join(map((words if p else chunks).__getitem__, listed)) + self.end for listed, p in zip(lists, plain)]
+
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """The model takes bytes as visible signs; all words are rewritten at once."""
+        tokenize = self.tokenizer.model.tokenize
+        signs = " ".join(words).encode().decode("latin-1").translate(self.signs).split(" ")
+        return [array("I", [t.id for t in tokenize(s)]).tobytes() for s in signs] if words else []
 
     def _whole_ids(self, chunks: list[str]) -> list[bytes]:
         return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
 
 
-def _join(parts: list[str], known: dict[str, bytes], encode, most: int) -> bytes:
-    try:
-        return b"".join([known[p] for p in parts])
-    except KeyError:
-        pass
-    if len(known) > most:
-        known.clear()
-    new = [p for p in dict.fromkeys(parts) if p not in known]
-    known.update(zip(new, encode(new)))
-    return b"".join([known[p] for p in parts])
+class Cache:
+    """What was encoded lately: two generations, of which the older goes when the newer is full."""
+
+    def __init__(self, most: int):
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.most = most // 2
+
+    def holding(self, parts: set[str], encode) -> dict[str, bytes]:
+        """A dictionary that holds all ``parts``."""
+        if len(self.new) > self.most:
+            self.old, self.new = self.new, {}
+        new, old = self.new, self.old
+        missing = [p for p in parts if p not in new]
+        if old:
+            new.update((p, old[p]) for p in missing if p in old)
+            missing = [p for p in missing if p not in new]
+        if missing:
+            new.update(zip(missing, encode(missing)))
+        return new
 
 
 class Packer:
@@ -161,35 +186,43 @@ class Packer:
                     rest.append([doc, start, most])
             if tokens > whole:
                 rest.append([doc, whole, tokens - whole])
-        size = np.array([r[2] for r in rest], float)
-        loss = size * np.array([self.docs[r[0]][3] for r in rest], float)
-        open_ = np.ones(len(rest), bool)
-        capacity = np.array([lim.tokens, lim.segments, lim.loss_tokens], float)
-        while open_.any():
-            room, pieces = capacity.copy(), []
-            while room[1] >= 1:
-                fits = open_ & (size <= room[0]) & (loss <= room[2])
-                share = room / capacity
-                if fits.any():
-                    gain = share[0] * size / capacity[0] + share[1] / capacity[1] + share[2] * loss / capacity[2]
-                    k = int(np.argmax(np.where(fits, gain, -1.0)))
-                    length = int(size[k])
-                    open_[k] = False
+        # By whether they bear loss, open pieces as (length, -number) in order. Within a class the product grows with the
+        # length, so its best piece is the longest that fits; of equal ones the first.
+        open_: dict[bool, list[tuple[int, int]]] = {False: [], True: []}
+        for k, (doc, _, length) in enumerate(rest):
+            open_[bool(self.docs[doc][3])].append((length, -k))
+        for listed in open_.values():
+            listed.sort()
+        while open_[False] or open_[True]:
+            room, slots, loss_room, pieces = lim.tokens, lim.segments, lim.loss_tokens, []
+            while slots >= 1:
+                best = None
+                for bears, listed in open_.items():
+                    at = bisect_right(listed, (min(room, loss_room) if bears else room, 1)) - 1
+                    if at >= 0:
+                        length, k = listed[at]
+                        # All products have the same share for the segment.
+                        gain = room * length / lim.tokens**2 + (loss_room * length / lim.loss_tokens**2 if bears else 0)
+                        best = max(best or (-1.0,), (gain, k, bears, at))
+                if best:
+                    _, _, bears, at = best
+                    length, k = open_[bears].pop(at)
+                    left = length
                 else:
                     # The longest piece is cut, so that documents stay whole where they can.
-                    longer = open_ & (np.minimum(room[0], np.where(loss > 0, room[2], room[0])) >= lim.least_cut)
-                    if room[0] < lim.least_cut or not longer.any():
+                    longest = [(*listed[-1], bears) for bears, listed in open_.items() if listed and (min(room, loss_room) if bears else room) >= lim.least_cut]
+                    if not longest:
                         break
-                    k = int(np.argmax(np.where(longer, size, -1.0)))
-                    length = int(min(room[0], room[2]) if loss[k] > 0 else room[0])
-                doc, start, left = rest[k]
+                    left, k, bears = max(longest)
+                    open_[bears].pop()
+                    length = min(room, loss_room) if bears else room
+                doc, start, _ = rest[-k]
                 pieces.append((doc, start, length))
-                rest[k] = [doc, start + length, left - length]
-                bears = loss[k] > 0
-                size[k] -= length
-                loss[k] = size[k] if bears else 0.0
-                room -= (length, 1, length * bears)
-            if room[0] < lim.least_cut:
+                rest[-k] = [doc, start + length, left - length]
+                if left > length:
+                    insort(open_[bears], (left - length, k))
+                room, slots, loss_room = room - length, slots - 1, loss_room - length * bears
+            if room < lim.least_cut:
                 self.emit(pieces)
             else:
                 self.emit_in_powers(pieces)
@@ -238,8 +271,8 @@ def pack_texts(
         packer = Packer(limits, (context.partitionId() if context else 0) << 33)
         for batch, texts in text_batches(batches):
             ids, flags = batch.column("doc_id").to_pylist(), batch.column("bears").to_pylist()
-            for doc_id, text, flag in zip(ids, texts, flags):
-                packer.take(doc_id, encoder.encode(text), flag)
+            for doc_id, found, flag in zip(ids, encoder.encode_all(texts), flags):
+                packer.take(doc_id, found, flag)
             if packer.rows:
                 yield _batch(packer.drain())
         packer.pack()
