@@ -10,8 +10,8 @@ that stands for two values in the text; two values of the item may become one. T
 the alignment: a literal window, or one with ``plain_share`` of plain words; in items without such windows those with the
 most plain words are seeds. Templates without any plain word are numbers or names only and match literally only.
 
-Defined cases: null and empty texts match nothing; items of fewer than ``least_item`` tokens aren't searched, items
-shorter than a window are windows of their own; each row is a text of its own, whatever its id; a text that holds an item
+Defined cases: null and empty texts match nothing; items shorter than a window are windows of their own, those of fewer than
+``least_item`` tokens as literal words only; each row is a text of its own, whatever its id; a text that holds an item
 several times, or several rows with one id (a null id is an id of its own), are one hit; empty tables give an empty result.
 """
 
@@ -40,6 +40,9 @@ QUANTITY = re.compile(r"([+-]?[0-9][0-9.,]*)([A-Za-zµ°]{1,4})$")
 STOPS = frozenset(".!?:")
 MARKS = ".,;:!?()[]{}\"'«»“”„…*"
 WORD, NUM, UNIT, NAME, QUANT, BREAK, SKIP = range(7)
+PLAIN_KIND = {w: UNIT for w in UNITS} | {w: NUM for w in NUMBER_WORDS}
+#: Stands for the end of a line among tokens; noncharacters that no text should hold.
+LINE_END = "\ufffe\uffff"
 CACHED_TOKENS = 150_000
 
 
@@ -56,14 +59,17 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text)
 
 
-PLACE = {NUM: _hash("<number>"), UNIT: _hash("<unit>"), NAME: _hash("<name>"), QUANT: _hash("<quantity>")}
+#: Hash of the placeholder of each kind; plain words and what is left out have none.
+PLACE_OF = np.array([0, *map(_hash, ("<number>", "<unit>", "<name>", "<quantity>")), 0, 0], np.uint64)
 
 
 def kind_of(token: str) -> tuple[int, int, int, str]:
     """(kind, hash as a word, whether it ends a sentence, value). A capitalised word is NAME, unless it opens a sentence."""
-    if token == "\n":
+    if token == LINE_END:
         return BREAK, 0, 1, ""
     core = token.strip(MARKS)
+    if core.isalpha() and core.islower() and token[-1] not in "\"')»”":
+        return PLAIN_KIND.get(core, WORD), _hash(core), int(token[-1] in STOPS), core
     last = token[-1]
     ends = int(last in STOPS or last in "\"')»”" and token.rstrip("\"')»”")[-1:] in STOPS and core != token)
     if not core:
@@ -83,75 +89,101 @@ def kind_of(token: str) -> tuple[int, int, int, str]:
 
 
 class Reader:
-    """Turns texts into arrays of kinds, hashes and values; tokens met before are looked up."""
+    """Turns texts into arrays of kinds, hashes and values. Tokens met before are looked up."""
 
     def __init__(self):
-        self.clear()
+        self.forget()
 
-    def clear(self) -> None:
+    def forget(self) -> None:
         self.numbers: dict[str, int] = {}
         self.values: list[str] = []
-        self.table = np.zeros((1 << 12, 3), np.uint64)
-
-    def number(self, token: str) -> int:
-        i = len(self.values)
-        kind, hashed, ends, value = kind_of(token)
-        if i == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[i] = kind, hashed, ends
-        self.values.append(value)
-        self.numbers[token] = i
-        return i
+        self.kinds, self.ends = np.zeros(1 << 17, np.int8), np.zeros(1 << 17, bool)
+        self.hashes = np.zeros(1 << 17, np.uint64)
+
+    def learn(self, tokens: set[str]) -> None:
+        # What ``kind_of`` says of most tokens needs no look at signs, digits or capitals.
+        plain = [t for t in tokens if t.isalpha() and t.islower()]
+        others = list(tokens.difference(plain))
+        first, last = len(self.values), len(self.values) + len(tokens)
+        while last > len(self.kinds):
+            self.kinds, self.ends, self.hashes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.kinds, self.ends, self.hashes))
+        self.numbers.update(zip(plain + others, range(first, last)))
+        self.values += plain
+        middle = len(self.values)
+        self.hashes[first:middle] = np.fromiter(map(_hash, plain), np.uint64, len(plain))
+        for token in PLAIN_KIND.keys() & plain:
+            self.kinds[self.numbers[token]] = PLAIN_KIND[token]
+        if others:
+            self.kinds[middle:last], self.hashes[middle:last], self.ends[middle:last], values = map(list, zip(*map(kind_of, others)))
+            self.values += values
 
     def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word hashes, kinds, token numbers) of the tokens of a text."""
         if len(self.values) > CACHED_TOKENS:
-            self.clear()
-        known = self.numbers
-        tokens = [t for line in text.split("\n") for t in (*line.split(), "\n")]
-        at = np.array([known[t] if t in known else self.number(t) for t in tokens], np.int64)
-        if not len(at):
-            return np.zeros(0, np.uint64), np.zeros(0, np.int8), at
-        rows = self.table[at]
-        kind, hashed, ends = rows[:, 0].astype(np.int8), rows[:, 1], rows[:, 2] > 0
-        opens = np.r_[True, ends[:-1]]
-        kept = (kind != BREAK) & (kind != SKIP)
-        # A sentence break stays one over signs that are left out.
-        place = np.cumsum(kept) - 1
-        opened = np.zeros(kept.sum() + 1, bool)
-        np.logical_or.at(opened, np.minimum(np.where(kept, place, place + 1), kept.sum()), opens)
-        kind, hashed, at = kind[kept], hashed[kept].copy(), at[kept]
-        kind[(kind == NAME) & opened[:-1]] = WORD
-        after_number = np.r_[False, kind[:-1] == NUM]
-        kind[(kind == UNIT) & ~after_number] = WORD
-        return hashed, kind, at
+            self.forget()
+        tokens = text.replace("\n", f" {LINE_END} ").split()
+        fresh = set(tokens).difference(self.numbers)
+        if fresh:
+            self.learn(fresh)
+        at = np.fromiter(map(self.numbers.__getitem__, tokens), np.int64, len(tokens))
+        kind = self.kinds[at]
+        kept = np.flatnonzero((kind != BREAK) & (kind != SKIP))
+        # A word opens a sentence if one has ended since the word before it; the first one opens the text.
+        ended = 1 + np.r_[0, np.cumsum(self.ends[at])][kept]
+        opened = np.diff(ended, prepend=0) > 0
+        at, kind = at[kept], kind[kept]
+        kind[(kind == NAME) & opened] = WORD
+        unit = np.flatnonzero(kind == UNIT)
+        kind[unit[(unit == 0) | (kind[unit - 1] != NUM)]] = WORD
+        return self.hashes[at], kind, at
 
     def slots(self, kind: np.ndarray, at: np.ndarray, start: int, width: int) -> list[str]:
         return [self.values[at[i]] for i in range(start, start + width) if kind[i] != WORD]
 
 
-def window_hashes(hashed: np.ndarray, width: int, start: np.ndarray | None = None) -> np.ndarray:
-    """Hashes of the windows at ``start``, or of all."""
-    n = len(hashed) - width + 1
-    total = np.full(n if start is None else len(start), width, np.uint64)
-    for k in range(width):
-        total = total * np.uint64(0x100000001B3) + (hashed[k : k + n] if start is None else hashed[start + k])
-        total ^= total >> np.uint64(29)
-    return total
+class Roller:
+    """Hashes of all windows of a sequence, by differences of running sums."""
 
+    BASE, INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
-def windows_of(words: np.ndarray, kind: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, whether literal, plain words) of all windows, and again of those with slots and plain words."""
-    n = len(words) - width + 1
+    def __init__(self):
+        self.up, self.down = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def sums(self, hashed: np.ndarray) -> np.ndarray:
+        while len(self.up) < len(hashed):
+            n = len(self.up)
+            for name, base in (("up", self.BASE), ("down", self.INVERSE)):
+                powers = getattr(self, name)
+                setattr(self, name, np.concatenate([powers, powers * np.uint64(pow(base, n, 1 << 64))]))
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashed * self.down[: len(hashed)])])
+
+    def windows(self, sums: np.ndarray, width: int, start: np.ndarray | None = None) -> np.ndarray:
+        """Hashes of the windows at ``start``, or of all."""
+        n = len(sums) - width
+        if start is None:
+            total = (sums[width:] - sums[:n]) * self.up[:n]
+        else:
+            total = (sums[start + width] - sums[start]) * self.up[start]
+        total = (total ^ (total >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(width)
+        return total ^ (total >> np.uint64(32))
+
+
+def with_places(words: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Hashes with placeholders for the slots."""
+    return np.where(kind == WORD, words, PLACE_OF[kind])
+
+
+def windows_of(roller: Roller, words: np.ndarray, places: np.ndarray, plain: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, whether literal, plain words) of all windows, and again of those with slots and plain words.
+
+    ``words`` and ``places`` are running sums of the hashes, ``plain`` those of the plain words.
+    """
+    n = len(words) - width
     if n < 1:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)
-    plain = np.r_[0, np.cumsum(kind == WORD)]
     plain = plain[width:] - plain[:n]
     start = np.flatnonzero((plain > 0) & (plain < width))
-    places = words.copy()
-    for k, value in PLACE.items():
-        places[kind == k] = np.uint64(value)
-    hashes = np.r_[window_hashes(words, width), window_hashes(places, width, start)]
+    hashes = np.r_[roller.windows(words, width), roller.windows(places, width, start)]
     return hashes, np.r_[np.arange(n), start], np.arange(n + len(start)) < n, np.r_[plain, plain[start]]
 
 
@@ -162,17 +194,20 @@ def _windows(rule: Rule, widths: list[int] | None, bitmap):
     """Function of mapInArrow; ``widths`` None: each text has its own (items). ``row`` tells texts apart, by content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader()
+        reader, roller = Reader(), Roller()
         bits = bitmap.value if bitmap is not None else None
         for batch, texts in text_batches(batches):
             rows: list[tuple] = []
             for id_, text in zip(batch.column("id").to_pylist(), texts):
                 words, kind, at = reader.read(text)
-                if widths is None and len(words) < rule.least_item:
+                if not len(words):
                     continue
                 row = None
+                sums = roller.sums(words), roller.sums(with_places(words, kind)), np.r_[0, np.cumsum(kind == WORD)]
                 for width in widths or [min(rule.window, len(words))]:
-                    found, start, literal, plain = windows_of(words, kind, width)
+                    found, start, literal, plain = windows_of(roller, *sums, width)
+                    if widths is None and len(words) < rule.least_item:
+                        found, start, literal, plain = found[literal], start[literal], literal[literal], plain[literal]
                     seed = literal | (plain >= rule.plain_share * width)
                     if bits is None:
                         thin = plain[~literal]
