@@ -194,6 +194,10 @@ BLOCK = "key binary, node bigint, own int, low int, high int, copies bigint, sha
 LINKS = "key binary, text_links bigint, links bigint, root binary"
 
 
+#: Buckets that are marked at a time, which bounds the marks of a block.
+MARKS = 1024
+
+
 def _sides(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of either chunk of a block, and which pairs belong to its bucket.
 
@@ -202,14 +206,30 @@ def _sides(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     node, first, second = (t.column(c)[0].as_py() for c in ("node", "low", "high"))
     chunks = np.array(t.column("own").to_pylist())
     ia, ib = np.flatnonzero(chunks == first), np.flatnonzero(chunks == second)
-    earlier = [[n for n in own if n < node] for own in t.column("shared").to_pylist()]
-    names = {n: k for k, n in enumerate(sorted(set().union(*earlier)))}
+    shared = t.column("shared").combine_chunks()
+    of = np.repeat(np.arange(len(chunks)), shared.value_lengths().to_numpy(zero_copy_only=False))
+    nodes = shared.flatten().to_numpy(zero_copy_only=False)
+    of, nodes = of[nodes < node], nodes[nodes < node]
     wanted = np.ones((len(ia), len(ib)), bool)
-    if names and wanted.size:
-        marks = np.zeros((len(chunks), len(names)), np.float32)
-        for i, own in enumerate(earlier):
-            marks[i, [names[n] for n in own]] = 1
-        wanted = (marks[ia] @ marks[ib].T) == 0
+    place = np.full(len(chunks), -1)
+    sides = []
+    for rows in (ia, ib):
+        place[:] = -1
+        place[rows] = np.arange(len(rows))
+        own = place[of] >= 0
+        sides.append((place[of[own]], nodes[own], len(rows)))
+    # Earlier buckets of both sides, some at a time.
+    both = np.intersect1d(sides[0][1], sides[1][1])
+    for start in range(0, len(both), MARKS):
+        names = both[start : start + MARKS]
+        marks = []
+        for rows, own, n in sides:
+            at = np.minimum(np.searchsorted(names, own), len(names) - 1)
+            hit = names[at] == own
+            m = np.zeros((n, len(names)), np.float32)
+            m[rows[hit], at[hit]] = 1
+            marks.append(m)
+        wanted &= (marks[0] @ marks[1].T) == 0
     if first == second:
         wanted &= np.arange(len(ia))[:, None] < np.arange(len(ib))[None, :]
     return ia, ib, wanted
