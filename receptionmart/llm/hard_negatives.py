@@ -43,9 +43,9 @@ class Rule:
     low_percent: int = 50
     high_percent: int = 95
     #: Rows and anchors that meet in one group, and dimensions of one posting list.
-    row_block: int = 2048
+    row_block: int = 4096
     anchor_block: int = 4096
-    dimensions: int = 8
+    dimensions: int = 16
     #: Steps in which a threshold goes down to the lowest one.
     steps: int = 4
 
@@ -64,8 +64,11 @@ class Index:
         self.slack = 1.0 + 1e-9 * self.rest[0] * longest
         self.lists = []
         held = np.arange(len(x))
+        #: In how many lists a row is; they are the first ones.
+        self.depth = np.zeros(len(x), np.int64)
         for g, s in enumerate(self.starts):
             held = held[self.rest[g, held] * longest + self.slack[held] >= floor]
+            self.depth[held] += 1
             place = np.full(len(x), -1)
             place[held] = np.arange(len(held))
             self.lists.append((place, self.x[held, s : s + width]))
@@ -82,22 +85,26 @@ class Index:
         done = []
         for g, (place, values) in enumerate(self.lists):
             at = place[live]
-            done.append(live[at < 0])
-            live, at = live[at >= 0], at[at >= 0]
-            part[live] += values[at] @ q[self.starts[g] : self.starts[g] + self.width]
-            bound = part[live] + self.rest[g + 1, live] * left[g + 1] + self.slack[live]
-            upper[live] = bound
+            listed = at >= 0
+            if not listed.all():
+                done.append(live[~listed])
+                live, at = live[listed], at[listed]
+            found = values[at] @ q[self.starts[g] : self.starts[g] + self.width]
+            found += part[live]
+            bound = self.rest[g + 1, live]
+            bound *= left[g + 1]
+            bound += found
+            bound += self.slack[live]
+            part[live], upper[live] = found, bound
             live = live[bound >= threshold]
         return np.concatenate([*done, live]), part, upper
 
     def finish(self, q: np.ndarray, rows: np.ndarray, part: np.ndarray) -> np.ndarray:
         """Whole products of ``rows``: what the lists hold of them is in ``part``."""
-        out = part[rows]
-        for g, (place, _) in enumerate(self.lists):
-            omitted = np.flatnonzero(place[rows] < 0)
-            if len(omitted):
-                s = self.starts[g]
-                out[omitted] += self.x[rows[omitted], s : s + self.width] @ q[s : s + self.width]
+        out, depth = part[rows], self.depth[rows]
+        for g in range(int(depth.min(initial=len(self.lists))), len(self.lists)):
+            omitted, s = np.flatnonzero(depth <= g), self.starts[g]
+            out[omitted] += self.x[rows[omitted], s : s + self.width] @ q[s : s + self.width]
         return out
 
     def search(self, q: np.ndarray, thresholds: list[float], enough) -> tuple[np.ndarray, np.ndarray]:
