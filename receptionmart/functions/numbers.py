@@ -31,8 +31,11 @@ def date_or_null(c: Column) -> Column:
 
 def whole_number(c: Column, kind: str) -> Column:
     """Integer of a number or its text, also written like ``1.0``; fails where it isn't whole or doesn't fit."""
+    plain = c.cast("string").try_cast(kind)
     exact = c.cast("decimal(38,10)")
-    return F.when(exact % 1 != 0, F.raise_error(F.concat(F.lit("not a whole number: "), c.cast("string")))).otherwise(exact.cast(kind))
+    failed = F.raise_error(F.concat(F.lit("not a whole number: "), c.cast("string")))
+    # Most values are written as integers; decimals are only tried for the rest.
+    return F.coalesce(plain, F.when(exact % 1 != 0, failed).otherwise(exact.cast(kind)))
 
 
 class Metric:

@@ -260,11 +260,10 @@ ORACLES: dict[str, str] = {
     "review_with_artist": f"WITH {BASE} SELECT * FROM rwa",
     "unmatched_artists": f"WITH {BASE} SELECT bridge_artist AS artist, count(*) AS n_reviews FROM rwa WHERE artist_spotify IS NULL GROUP BY 1",
     "coverage_by_year": f"""WITH {BASE},
-a AS (SELECT DISTINCT pub_year, artist FROM bridge JOIN reviews USING (reviewid)),
-m AS (SELECT DISTINCT pub_year, b.artist FROM bridge b JOIN reviews USING (reviewid) JOIN dim d ON d.artist = b.artist WHERE artist_spotify IS NOT NULL),
-c AS (SELECT a.pub_year, count(DISTINCT a.artist) AS t, count(DISTINCT m.artist) AS m FROM a
-      LEFT JOIN m ON m.pub_year = a.pub_year AND m.artist = a.artist GROUP BY 1)
-SELECT pub_year, t AS artists_total, m AS artists_mapped, ((2000 * m + t) // (2 * t))::double / 1000 AS pct_mapped FROM c""",
+seen AS (SELECT r.pub_year, x.artist, bool_or(d.artist_spotify IS NOT NULL) AS mapped
+         FROM reviews r JOIN bridge x ON x.reviewid = r.reviewid LEFT JOIN dim d ON d.artist = x.artist WHERE x.artist IS NOT NULL GROUP BY 1, 2),
+years AS (SELECT pub_year, count(*) AS n, count(*) FILTER (mapped) AS k FROM seen GROUP BY 1)
+SELECT pub_year, n AS artists_total, k AS artists_mapped, ((2000 * k + n) // (2 * n))::double / 1000 AS pct_mapped FROM years""",
     "artist_summary": f"WITH {BASE}, {SUMMARY} SELECT * FROM summary",
     "artist_streams": f"WITH {BASE}, {STREAMS} SELECT * FROM streams",
     "artist_mart": f"WITH {MART} SELECT * FROM mart",
@@ -310,11 +309,11 @@ AND NOT (len(list_intersect(ta, tb))::double / len(list_distinct(list_concat(ta,
     "dim_ranking": f"""SELECT artist, artist_norm, n_reviews, artist_spotify, match_type, score FROM (
 SELECT {_artist('p_partkey')} AS artist, p_name AS artist_norm, p_size::bigint AS n_reviews, p_brand AS artist_spotify, p_type AS match_type, p_retailprice AS score,
 row_number() OVER (PARTITION BY p_name ORDER BY p_retailprice DESC, coalesce(p_size, 0) DESC, p_partkey) AS rn FROM part) WHERE rn = 1""",
-    "mapping_coverage": f"""WITH {BASE} SELECT
-(SELECT count(DISTINCT artist) FROM bridge) AS total_artists,
-(SELECT count(DISTINCT b.artist) FROM bridge b JOIN dim d ON d.artist = b.artist WHERE d.artist_spotify IS NOT NULL) AS mapped_artists,
-(SELECT count(DISTINCT b.artist) FROM bridge b JOIN dim d ON d.artist = b.artist WHERE d.match_type = 'exact_norm') AS exact_mapped,
-(SELECT count(DISTINCT b.artist) FROM bridge b JOIN dim d ON d.artist = b.artist WHERE d.match_type = 'jaccard_token') AS fuzzy_mapped""",
+    "mapping_coverage": f"""WITH {BASE},
+seen AS (SELECT x.artist, bool_or(d.artist_spotify IS NOT NULL) AS mapped, bool_or(d.match_type = 'exact_norm') AS exact,
+                bool_or(d.match_type = 'jaccard_token') AS fuzzy FROM bridge x LEFT JOIN dim d ON d.artist = x.artist WHERE x.artist IS NOT NULL GROUP BY 1)
+SELECT count(*) AS total_artists, count(*) FILTER (mapped) AS mapped_artists, count(*) FILTER (exact) AS exact_mapped,
+       count(*) FILTER (fuzzy) AS fuzzy_mapped FROM seen""",
     "row_counts": _all([f"SELECT '{t}' AS tbl, count(*) AS n FROM {t}" for t in TABLES]),
     "score_range": f"SELECT min({SCORE}) AS min_score, max({SCORE}) AS max_score FROM orders",
     "null_checks": "SELECT count(*) FILTER (WHERE user_id IS NULL OR event_type IS NULL OR event_type = 'error') AS null_rows_spotify FROM events",
