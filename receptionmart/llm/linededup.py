@@ -209,15 +209,24 @@ def _drop_known(df: DataFrame, known, text_col: str) -> DataFrame:
     return kept.mapInArrow(run, schema)
 
 
+def _free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer where ``df`` has a column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def _drop_joined(df: DataFrame, keys: DataFrame, rule: Rule, suspects, id_col: str, text_col: str) -> DataFrame:
     """The way for many confirmed keys, and for keeping first occurrences.
 
     Rows get an id by their place in a stored copy; suspected lines are joined to the keys, and the numbers of the
-    lines to drop go back to their rows.
+    lines to drop go back to their rows. A null id is the smallest when first occurrences are kept.
     """
     bits = rule.filter_bits
     kept, schema = _with_counts(df, text_col)
-    stored = materialize(kept.withColumn("_row", F.monotonically_increasing_id()))
+    own_row, own_drops = _free_name(kept, "_row"), _free_name(kept, "_drops")
+    stored = materialize(kept.withColumn(own_row, F.monotonically_increasing_id()))
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filter_ = suspects.value
@@ -241,23 +250,23 @@ def _drop_joined(df: DataFrame, keys: DataFrame, rule: Rule, suspects, id_col: s
                 ["key", "row", "doc", "place"],
             )
 
-    source = stored.select(F.col("_row"), F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    source = stored.select(F.col(own_row).alias("_row"), F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("string").alias("text"))
     found = source.mapInArrow(lines, "key binary, row bigint, doc bigint, place int").join(keys, "key")
     if rule.keep_first:
         found = materialize(found)
         first = found.groupBy("key").agg(F.min(F.struct("doc", "row", "place")).alias("first"))
         found = found.join(first, "key").filter(~F.struct("doc", "row", "place").eqNullSafe(F.col("first")))
-    drops = found.groupBy("row").agg(F.sort_array(F.collect_list("place")).alias("_drops"))
+    drops = found.groupBy(F.col("row").alias(own_row)).agg(F.sort_array(F.collect_list("place")).alias(own_drops))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in text_batches(batches, text_col):
             texts, n, dropped = [], [], []
-            for text, places in zip(found, batch.column("_drops").to_pylist()):
+            for text, places in zip(found, batch.column(own_drops).to_pylist()):
                 all_lines, gone = text.split("\n"), set(places or ())
                 n.append(len(all_lines))
                 dropped.append(len(gone))
                 texts.append("\n".join(line for i, line in enumerate(all_lines) if i not in gone))
-            yield _replaced(batch.drop_columns(["_drops"]), text_col, texts, n, dropped)
+            yield _replaced(batch.drop_columns([own_drops]), text_col, texts, n, dropped)
 
-    joined = stored.join(drops, stored["_row"] == drops["row"], "left").select(*kept.columns, "_drops")
+    joined = stored.join(drops, own_row, "left").select(*kept.columns, own_drops)
     return joined.mapInArrow(run, schema)

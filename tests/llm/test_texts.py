@@ -194,3 +194,12 @@ def test_toxicity_learns_and_ties_are_stable(spark):
     assert wrong <= 0.05 * len(labels) / 3
     assert {x["score"] for x in toxicity.score_toxicity(df, marks.limit(0), df, small).collect()} == {0.5}
     assert toxicity.score_toxicity(df.limit(0), marks, df, small).collect() == []
+
+
+def test_joined_lines_with_clashing_names(spark):
+    """Columns named like those of the joined way stay as they are; the smallest id keeps a repeated line, null first."""
+    data = [(i, f"same\n{i}", i, i, i) for i in range(3)] + [(None, "same", 9, 9, 9)]
+    df = spark.createDataFrame(data, "doc_id long, text string, row int, _row int, _Drops int")
+    rule = linededup.Rule(min_docs=2, keep_first=True, filter_bits=1 << 16)
+    got = linededup.drop_lines(df, rule).collect()
+    assert {(r["doc_id"], r["text"], r["row"], r["_row"], r["_Drops"]) for r in got} == {(None, "same", 9, 9, 9)} | {(i, f"{i}", i, i, i) for i in range(3)}
