@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Accuracy of the sketch that brackets a quantile; the bracket holds about 6/ACCURACY of the values.
-ACCURACY = 10_000
-# Half the width of the bracket in units of that accuracy.
-HALF_WIDTH = 3.0
+from ..session import materialize
+
+# Buckets a range of values is cut into in one round.
+BUCKETS = 64
+# Distinct values of a range that are put in order in one task; must be at least BUCKETS.
+LISTED = 65_536
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -36,68 +40,94 @@ def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Exact linearly interpolated quantiles as rows (metric, probability, n, quantile).
 
-    Equal values are merged once for all quantiles. A sketch brackets each quantile between two values;
-    values outside are only counted, and only the small bracket is ordered, so no task ever holds a whole
-    column. The sketch decides how much work is done, never the result: the wanted ranks must lie in the
-    bracket or be the values next to it, else the query fails.
+    Equal values are merged once for all quantiles. Each wanted rank then has a range of values that holds it; a round cuts
+    every range that is still too wide into buckets, counts their rows exactly and keeps the bucket with the rank. A range of
+    at most LISTED distinct values is put in order. The cuts decide how many rounds there are, never the result.
     """
     return _quantiles_of_long(_long(df, columns), probabilities)
 
 
-def _quantiles_of_long(long: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    margin = HALF_WIDTH / ACCURACY
-    low = [max(p - margin, 0.0) for p in probabilities]
-    high = [min(p + margin, 1.0) for p in probabilities]
-    sketches = long.groupBy("metric").agg(
-        F.count("value").alias("n"),
-        F.percentile_approx("value", low, ACCURACY).alias("low"),
-        F.percentile_approx("value", high, ACCURACY).alias("high"),
-    )
-    # One row per metric and probability.
-    targets = sketches.select(
-        "metric",
-        "n",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(float(p)).alias("probability"), F.col("low")[i].alias("from"), F.col("high")[i].alias("to"))
-                    for i, p in enumerate(probabilities)
-                ]
-            )
-        ),
-    )
-    counts = long.groupBy("metric", "value").agg(F.count("*").alias("rows"))
-    zone = F.when(F.col("value") < F.col("from"), -1).when(F.col("value") > F.col("to"), 1).otherwise(0)
-    counted = (
-        counts.join(F.broadcast(targets), "metric")
-        .withColumn("zone", zone)
-        .groupBy("metric", "probability", "n", "zone", F.when(F.col("zone") == 0, F.col("value")).alias("inside"))
-        .agg(F.sum("rows").alias("rows"), F.min("value").alias("lowest"), F.max("value").alias("highest"))
+@dataclass(frozen=True)
+class _Range:
+    """Values ``low`` to ``high`` of a metric, the rows below them and the distinct values among them."""
+
+    metric: str
+    low: float
+    high: float
+    below: int
+    distinct: int
+
+
+def _within(counts: DataFrame, ranges: Sequence[_Range]) -> DataFrame:
+    """Counted values in one of the ranges, with its position in the list; there are at most two ranges per quantile."""
+    rows = [(i, r.metric, r.low, r.high, r.below) for i, r in enumerate(ranges)]
+    listed = counts.sparkSession.createDataFrame(rows, "range INT, owner STRING, low DOUBLE, high DOUBLE, below BIGINT")
+    inside = (F.col("metric") == F.col("owner")) & F.col("value").between(F.col("low"), F.col("high"))
+    return counts.join(F.broadcast(listed), inside).select("range", "below", "value", "rows")
+
+
+def _buckets(counts: DataFrame, ranges: Sequence[_Range]) -> list[list[_Range]]:
+    """Each range cut at values that part its distinct values about evenly."""
+    inside = _within(counts, ranges)
+    shares = [i / BUCKETS for i in range(1, BUCKETS)]
+    cuts = inside.groupBy("range").agg(F.percentile_approx("value", shares, 4 * BUCKETS).alias("cuts"))
+    cut = (
+        inside.join(F.broadcast(cuts), "range")
+        .groupBy("range", F.size(F.filter("cuts", lambda c: c < F.col("value"))).alias("bucket"))
+        .agg(F.sum("rows").alias("rows"), F.count("*").alias("distinct"), F.min("value").alias("low"), F.max("value").alias("high"))
     )
-    upto = Window.partitionBy("metric", "probability").orderBy("zone", "inside")
-    ranked = counted.withColumn("last", F.sum("rows").over(upto) - 1).withColumn("first", F.col("last") - F.col("rows") + 1)
-    position = (F.col("n") - 1) * F.col("probability")
-
-    def value_at(rank: Column) -> Column:
-        """Value of a rank; NULL when it is out of the bracket and not next to it."""
-        known = (
-            F.when(F.col("zone") == 0, F.col("inside"))
-            .when((F.col("zone") < 0) & (rank == F.col("last")), F.col("highest"))
-            .when((F.col("zone") > 0) & (rank == F.col("first")), F.col("lowest"))
-        )
-        return F.max(F.when(rank.between(F.col("first"), F.col("last")), known))
+    parted: list[list[_Range]] = [[] for _ in ranges]
+    below = [r.below for r in ranges]
+    for b in sorted(cut.collect(), key=lambda b: (b["range"], b["bucket"])):
+        parted[b["range"]].append(_Range(ranges[b["range"]].metric, b["low"], b["high"], below[b["range"]], b["distinct"]))
+        below[b["range"]] += b["rows"]
+    return parted
+
+
+def _narrowed(counts: DataFrame, places: dict[tuple[str, int], _Range]) -> tuple[dict[tuple[str, int], _Range], int]:
+    """For each (metric, rank) a range of few distinct values, and the number of rounds it took."""
+    rounds = 0
+    while wide := list(dict.fromkeys(r for r in places.values() if r.distinct > LISTED)):
+        parts = dict(zip(wide, _buckets(counts, wide)))
+        places = {
+            (metric, rank): [p for p in parts[r] if p.below <= rank][-1] if r in parts else r
+            for (metric, rank), r in places.items()
+        }
+        rounds += 1
+    return places, rounds
 
-    found = ranked.groupBy("metric", "probability", "n").agg(
-        value_at(F.floor(position)).alias("lower"), value_at(F.ceil(position)).alias("upper")
+
+def _quantiles_of_long(long: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    spark = long.sparkSession
+    counts = materialize(long.groupBy("metric", "value").agg(F.count("*").alias("rows")))
+    wholes = counts.groupBy("metric").agg(
+        F.sum("rows").alias("n"), F.count("*").alias("distinct"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    places, targets = {}, []
+    for m in wholes.collect():
+        for p in map(float, probabilities):
+            position = (m.n - 1) * p
+            for rank in {math.floor(position), math.ceil(position)}:
+                places[m.metric, rank] = _Range(m.metric, m.low, m.high, 0, m.distinct)
+                targets.append((m.metric, p, m.n, position - math.floor(position), rank))
+    places, _ = _narrowed(counts, places)
+    ranges = list(dict.fromkeys(places.values()))
+    at = {r: i for i, r in enumerate(ranges)}
+    wanted = spark.createDataFrame(
+        [(*t, at[places[t[0], t[-1]]]) for t in targets],
+        "metric STRING, probability DOUBLE, n BIGINT, part DOUBLE, rank BIGINT, range INT",
     )
-    proven = F.col("lower").isNotNull() & F.col("upper").isNotNull()
-    between = F.col("lower") + (F.col("upper") - F.col("lower")) * (position - F.floor(position))
-    return found.select(
-        "metric",
-        "probability",
-        "n",
-        F.when(proven, between).otherwise(F.raise_error(F.lit("a quantile lies outside its bracket"))).alias("quantile"),
+    last = F.col("below") + F.sum("rows").over(Window.partitionBy("range").orderBy("value"))
+    ordered = _within(counts, ranges).select("range", "value", (last - F.col("rows")).alias("first"), last.alias("next"))
+    holds = (F.col("o.range") == F.col("w.range")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("next"))
+    found = (
+        ordered.alias("o")
+        .join(F.broadcast(wanted.alias("w")), holds)
+        .groupBy("metric", "probability", "n", "part")
+        .agg(F.min("value").alias("lower"), F.max("value").alias("upper"))
     )
+    between = F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("part")
+    return found.select("metric", "probability", "n", between.alias("quantile"))
 
 
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -119,24 +119,39 @@ def test_slices(mart):
     assert [r.artist for r in analysis.by_streams(analysis.overrated(core, low_score=5.0)).collect()] == ["a10", "a09", "a08"]
 
 
-def test_quantiles_equal_sorted_interpolation(spark, monkeypatch):
-    # A coarse sketch makes the bracket real even on little data.
-    monkeypatch.setattr(stats, "ACCURACY", 50)
-    values = [float((i * i) % 997) for i in range(600)] + [500.0] * 300 + [None] * 5
+@pytest.mark.parametrize("listed", [65_536, 64, 8])
+def test_quantiles_equal_sorted_interpolation(spark, monkeypatch, listed):
+    # Narrow lists make the rounds real even on little data.
+    monkeypatch.setattr(stats, "BUCKETS", 8)
+    monkeypatch.setattr(stats, "LISTED", listed)
+    values = [float((i * i) % 997) for i in range(600)] + [500.0] * 300 + [1e300, -1e300, None, None]
     df = spark.createDataFrame([(v,) for v in values], "x DOUBLE").withColumn("y", -F.col("x"))
     ordered = sorted(v for v in values if v is not None)
-    got = {(r.metric, r.probability): r.quantile for r in exact_quantiles(df, ["x", "y"], [0.0, 0.3, 0.5, 0.999, 1.0]).collect()}
-    for p in (0.0, 0.3, 0.5, 0.999, 1.0):
+    probabilities = [0.0, 0.3, 0.5, 0.99, 1.0]
+    got = {(r.metric, r.probability): r.quantile for r in exact_quantiles(df, ["x", "y"], probabilities).collect()}
+    assert len(got) == 10
+    for p in probabilities:
         h = (len(ordered) - 1) * p
         low, high = ordered[math.floor(h)], ordered[math.ceil(h)]
         assert got[("x", p)] == pytest.approx(low + (high - low) * (h - math.floor(h)))
     assert got[("y", 0.5)] == -got[("x", 0.5)]
 
 
-def test_quantiles_outside_the_bracket_fail(spark, monkeypatch):
-    monkeypatch.setattr(stats, "HALF_WIDTH", -500.0)
-    with pytest.raises(Exception, match="outside its bracket"):
-        exact_quantiles(spark.range(1000).select(F.col("id").alias("x")), ["x"], [0.5]).collect()
+def test_quantiles_take_as_many_rounds_as_needed(spark, monkeypatch):
+    monkeypatch.setattr(stats, "BUCKETS", 8)
+    monkeypatch.setattr(stats, "LISTED", 10)
+    counts = spark.range(3000).select(F.lit("x").alias("metric"), F.col("id").cast("double").alias("value"), F.lit(2).cast("bigint").alias("rows"))
+    whole = stats._Range("x", 0.0, 2999.0, 0, 3000)
+    places, rounds = stats._narrowed(counts, {("x", 0): whole, ("x", 3001): whole, ("x", 5999): whole})
+    assert rounds > 1
+    for (_, rank), place in places.items():
+        assert place.distinct <= 10 and place.low <= rank // 2 <= place.high and place.below == 2 * place.low
+
+
+def test_quantiles_without_values(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "x DOUBLE, y DOUBLE")
+    assert [(r.metric, r.n, r.quantile) for r in exact_quantiles(df, ["x", "y"], [0.5]).collect()] == [("y", 2, 2.0)]
+    assert exact_quantiles(df.limit(0), ["x", "y"], [0.5]).collect() == []
 
 
 def test_sums_refuse_further_places(spark):
