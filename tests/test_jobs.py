@@ -9,7 +9,7 @@ from receptionmart import schemas
 from receptionmart.errors import DataQualityError, MissingInputError
 from receptionmart.functions import numbers
 from receptionmart.operators import columns, manifest, quality
-from receptionmart.operators.ranking import keep_first, surrogate_key
+from receptionmart.operators.ranking import keep_first, ordered_slices, surrogate_key
 from receptionmart.plans import dimension, jobs, matching, pipeline, staging
 from receptionmart.sources import readers, writers
 
@@ -149,11 +149,19 @@ def test_best_per_key_and_defaults(spark):
 
 def test_surrogate_keys_are_dense_and_ordered(spark):
     values = [f"k{(i * 7919) % 1000:04d}" for i in range(1000)]
-    keyed = surrogate_key(names(spark, values, "k"), "k", "id", slices=16)
+    keyed = surrogate_key(names(spark, values, "k"), "k", "id", slice_rows=60)
     assert [(r.id, r.k) for r in keyed.orderBy("id").collect()] == list(enumerate(sorted(values), 1))
     assert surrogate_key(names(spark, ["one"], "k"), "k", "id").first().id == 1
 
 
+def test_slices_of_skewed_values_are_even(spark):
+    # Most values share a long beginning and lie close together.
+    values = [f"{'z' * 30}{i:06d}" for i in range(9000)] + [f"{chr(97 + i % 20)}{i}" for i in range(1000)]
+    sliced = ordered_slices(names(spark, values, "k").repartition(8), "k", 10)
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 10_000 and max(sizes) < 2000
+
+
 def test_keep_first_prunes_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 AS k", "id")
     best = keep_first(df, ["k"], [F.col("id").desc()])
