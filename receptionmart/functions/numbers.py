@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Forms of dates other than ISO that a column may be written in, the likelier reading first.
+DATE_FORMS = (
+    "M/d/yyyy", "d/M/yyyy", "yyyy/M/d", "yyyyMMdd", "d.M.yyyy", "M-d-yyyy", "MMMM d, yyyy", "MMM d, yyyy", "MMMM d yyyy", "d MMMM yyyy", "d MMM yyyy",
+)
 # How far a scaled value may lie from a whole number: noise of binary fractions, absolute and relative.
 NOISE, RELATIVE_NOISE = 1e-6, 1e-12
 
@@ -24,9 +28,23 @@ def number_or_zero(c: Column) -> Column:
     return F.coalesce(c.try_cast("double"), F.lit(0.0))
 
 
-def date_or_null(c: Column) -> Column:
-    """Date of an ISO date or timestamp text; NULL where it cannot be read."""
-    return F.to_date(F.try_to_timestamp(c.cast("string")))
+def date_or_null(c: Column, form: str | None = None) -> Column:
+    """Date of a text in one of DATE_FORMS, else of an ISO date or timestamp; NULL where it cannot be read."""
+    text = c.cast("string")
+    return F.to_date(F.try_to_timestamp(text) if form is None else F.try_to_timestamp(F.trim(text), F.lit(form)))
+
+
+def date_form(df: DataFrame, column: str) -> str | None:
+    """The one form that reads most values of a column, found in one pass; None is ISO, which also wins ties.
+
+    No form reads what another one does unless day and month can be told apart by no value; then the earlier one is taken.
+    """
+    c = F.col(column)
+    other = date_or_null(c).isNull() & (F.trim(c.cast("string")) != "")
+    reads = [F.count_if(other & date_or_null(c, form).isNotNull()) for form in DATE_FORMS]
+    row = df.agg(F.count(date_or_null(c)).alias("iso"), *[r.alias(f"f{i}") for i, r in enumerate(reads)]).first()
+    best = max(range(len(DATE_FORMS)), key=lambda i: (row[f"f{i}"], -i))
+    return DATE_FORMS[best] if row[f"f{best}"] > row["iso"] else None
 
 
 def whole_number(c: Column, kind: str) -> Column:
