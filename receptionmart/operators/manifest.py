@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import DataQualityError
+from ..sources import files
 
 MAX_ROW_LOSS_PCT = 2.0
 # Elements of number arrays are hashed as whole numbers of this unit, the same in every engine.
@@ -56,8 +57,20 @@ def table_manifest(tables: Mapping[str, DataFrame], method: str = "xxhash64") ->
 
 
 def file_hashes(df_files: DataFrame) -> DataFrame:
-    """Rows (path, bytes, sha256) of a frame read with the ``binaryFile`` format."""
-    return df_files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    """Rows (path, bytes, sha256) of a frame read with the ``binaryFile`` format.
+
+    Only the listing is read through that format. Each task opens its files itself and feeds the digest in parts, so a file
+    may be larger than a row can be. Spark's listing leaves empty files out.
+    """
+    listed = df_files.select("path", F.col("length").alias("bytes"))
+    return listed.mapInPandas(files.hashed, "path STRING, bytes BIGINT, sha256 STRING")
+
+
+def sizes(df: DataFrame, table: str) -> DataFrame:
+    """One row (table_name, rows, bytes); bytes are those of the values' text form with one byte between two columns."""
+    texts = [F.coalesce(_text_ready(f).cast("string"), F.lit(_NULL_MARK)) for f in df.schema.fields]
+    length = F.octet_length(F.concat_ws(_FIELD_GAP, *texts)).cast("bigint")
+    return df.agg(F.lit(table).alias("table_name"), F.count("*").alias("rows"), F.coalesce(F.sum(length), F.lit(0)).alias("bytes"))
 
 
 def totals(entries: DataFrame) -> DataFrame:

@@ -85,7 +85,7 @@ def load_reviews_and_bridge(reviews: DataFrame, bridge: DataFrame, folder: str |
 def publish_dimension(mapped: DataFrame, folder: str | None = None) -> DataFrame:
     """Replace the dimension table; a failing check or write leaves the old one in place."""
     table = TABLE_NAMES["dimension"]
-    writers.swap_table(dimension.artist_dimension(mapped), table, _place(folder, table))
+    writers.publish_version(dimension.artist_dimension(mapped), table, _place(folder, table))
     return mapped.sparkSession.table(table)
 
 

@@ -8,7 +8,7 @@ whole document texts, listening-side name cells from whole pages and conversatio
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -405,8 +405,8 @@ def manifest_drift(spark, sf_dir):
 
 
 def manifest_totals(spark, sf_dir):
-    entries = m.table_manifest({t: table(spark, sf_dir, t) for t in TABLES}).select(F.col("n_rows").alias("rows"), F.col("n_columns").cast("bigint").alias("bytes"))
-    return m.totals(entries).select("tables_exported", "rows_exported")
+    each = [m.sizes(table(spark, sf_dir, t), t) for t in TABLES]
+    return m.totals(reduce(DataFrame.unionByName, each))
 
 
 def file_hashes(spark, sf_dir):

@@ -339,6 +339,12 @@ def _fingerprint(table: str, source: str, replaced: dict[str, str] | None = None
     )
 
 
+def _row_bytes(table: str) -> str:
+    columns = COLUMNS[table].split()
+    texts = ", ".join(f"coalesce(({ARRAY_FORMS.get(c, c)})::varchar, chr(0))" for c in columns)
+    return f"strlen(concat_ws(chr(31), {texts}))"
+
+
 def _all(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
@@ -438,7 +444,8 @@ WHERE artist <> '' AND length(artist) <= 2 AND artist NOT IN ('x', 'u2', 'm', 'b
     "key_checks": "SELECT p_name AS artist_norm, count(*) AS n FROM part GROUP BY 1 HAVING count(*) > 1",
     "manifest": _all([_fingerprint(t, t) for t in TABLES]),
     "manifest_drift": DRIFT,
-    "manifest_totals": f"SELECT count(*) AS tables_exported, sum(n)::bigint AS rows_exported FROM ({_all([f'SELECT count(*) AS n FROM {t}' for t in TABLES])})",
+    "manifest_totals": "SELECT count(*) AS tables_exported, sum(n)::bigint AS rows_exported, sum(size)::bigint AS bytes_exported "
+    f"FROM ({_all([f'SELECT count(*) AS n, sum({_row_bytes(t)}) AS size FROM {t}' for t in TABLES])})",
     "source_profile": _all(
         [
             f"SELECT '{t}' AS table_name, {i}::int AS position, '{c}' AS column_name, {_dtype(t, c)} AS dtype, true AS nullable, (SELECT count(*) FROM {t}) AS n_rows"

@@ -1,17 +1,19 @@
 """Staging, matching, dimension, checks, manifests and sources on small inputs."""
 
+import hashlib
 import json
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from receptionmart import schemas
-from receptionmart.errors import DataQualityError, MissingInputError
+from receptionmart.errors import DataQualityError, MissingInputError, PublishConflictError
 from receptionmart.functions import numbers
 from receptionmart.operators import columns, manifest, quality
 from receptionmart.operators.ranking import keep_first, ordered_slices, surrogate_key
 from receptionmart.plans import dimension, jobs, matching, pipeline, staging
-from receptionmart.sources import readers, writers
+from receptionmart.sources import files, readers, writers
 
 
 def names(spark, values, column="name"):
@@ -230,6 +232,84 @@ def test_export_and_manifest(spark, tmp_path):
     back = readers.read_csv(spark, f"{tmp_path}/artists.csv", "artist STRING")
     assert sorted(r.artist for r in back.collect()) == ["b", 'say "hi", you']
     assert manifest.totals(manifest.entries(readers.read_manifest(spark, f"{tmp_path}/manifest.json"))).first()["tables_exported"] == 1
+    assert document["source_db_mtime"] is None
+
+
+def test_export_tells_the_time_of_the_source(spark, tmp_path):
+    writers.save_table(spark.range(5), "from_files", f"{tmp_path}/in")
+    try:
+        document = writers.export_tables(spark, ["from_files"], f"{tmp_path}/out", "files")
+    finally:
+        spark.sql("DROP TABLE from_files")
+    written = sum(p.stat().st_size for p in (tmp_path / "out" / "from_files.csv").glob("*.csv"))
+    newest = max(p.stat().st_mtime for p in (tmp_path / "in").glob("*.parquet"))
+    assert document["totals"] == {"tables_exported": 1, "rows_exported": 5, "bytes_exported": written}
+    assert abs(datetime.fromisoformat(document["source_db_mtime"]).timestamp() - newest) < 1
+    assert readers.read_csv(spark, f"{tmp_path}/out/from_files.csv").columns == ["id"]
+
+
+def test_files_are_hashed_in_parts(spark, tmp_path):
+    content = bytes(range(256)) * 5000
+    (tmp_path / "a b%20.bin").write_bytes(content)
+    (tmp_path / "short.bin").write_bytes(b"x")
+    listed = spark.read.format("binaryFile").load(str(tmp_path))
+    got = {(r.bytes, r.sha256) for r in manifest.file_hashes(listed).collect()}
+    assert got == {(len(c), hashlib.sha256(c).hexdigest()) for c in (content, b"x")}
+    assert files.sha256_of(str(tmp_path / "a b%20.bin"), chunk=1000) == hashlib.sha256(content).hexdigest()
+
+
+def test_published_versions(spark, tmp_path, monkeypatch):
+    def values():
+        return [r.k for r in spark.table("published").collect()]
+
+    try:
+        writers.save_table(names(spark, ["plain"], "k"), "published", f"{tmp_path}/plain")
+        first = writers.publish_version(names(spark, ["one"], "k"), "published", str(tmp_path))
+        assert values() == ["one"] and writers.live_version(spark, "published") == first
+        with monkeypatch.context() as stop:
+            stop.setattr(writers, "_switch", lambda *_: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                writers.publish_version(names(spark, ["stopped"], "k"), "published", str(tmp_path))
+        assert values() == ["one"]
+        with monkeypatch.context() as other:
+            save = writers.save_table
+
+            def save_late(*args):
+                save(*args)
+                spark.sql(f"ALTER VIEW published SET TBLPROPERTIES ('{writers.VERSION}' = 'theirs')")
+
+            other.setattr(writers, "save_table", save_late)
+            with pytest.raises(PublishConflictError):
+                writers.publish_version(names(spark, ["late"], "k"), "published", str(tmp_path))
+        assert values() == ["one"]
+        spark.sql(f"ALTER VIEW published SET TBLPROPERTIES ('{writers.VERSION}' = '{first}')")
+        writers.publish_version(names(spark, ["two"], "k"), "published", str(tmp_path))
+        assert values() == ["two"] and len(writers.drop_versions(spark, "published")) == 3
+        assert writers.roll_back(spark, "published") == first and values() == ["one"]
+        with pytest.raises(MissingInputError):
+            writers.roll_back(spark, "published")
+    finally:
+        spark.sql("DROP VIEW IF EXISTS published")
+        writers.drop_versions(spark, "published")
+
+
+@pytest.mark.parametrize(
+    "form, dates",
+    [
+        (None, ["2010-01-31", "2010-02-01 10:00:00"]),
+        ("M/d/yyyy", ["01/31/2010", "2/1/2010"]),
+        ("d/M/yyyy", ["31/01/2010", "1/2/2010"]),
+        ("yyyyMMdd", ["20100131", "20100201"]),
+        ("d.M.yyyy", ["31.1.2010", "01.02.2010"]),
+        ("MMMM d, yyyy", ["January 31, 2010", "February 1, 2010"]),
+        ("d MMM yyyy", ["31 Jan 2010", "1 Feb 2010"]),
+    ],
+)
+def test_date_form_is_found(spark, form, dates):
+    df = spark.createDataFrame([(d,) for d in [*dates, "unknown", "", None]], "d STRING")
+    assert numbers.date_form(df, "d") == form
+    got = [r.d for r in df.select(numbers.date_or_null(F.col("d"), form).alias("d")).collect()]
+    assert got == [date(2010, 1, 31), date(2010, 2, 1), None, None, None]
 
 
 # --- sources ----------------------------------------------------------------------------------------------
@@ -256,6 +336,15 @@ def test_candidate_files(spark, tmp_path):
     assert sorted(r.name for r in matching.candidate_names(frames).collect()) == ["A", "B", "C", "Foo"]
 
 
+def test_many_candidate_files_in_few_scans(spark, tmp_path):
+    for i in range(200):
+        (tmp_path / f"{i}.csv").write_text(("artist,n\n" if i % 2 else "n,Artists,n\n") + (f"a{i},1\n" if i % 2 else f"1,b{i},2\n"))
+    (tmp_path / "bad.csv").write_bytes(b"\xff\xfeartist\n")
+    frames, skipped = readers.scan_candidates(spark, [str(tmp_path)])
+    assert len(frames) == 2 and [p.rsplit("/", 1)[-1] for p in skipped] == ["bad.csv"]
+    assert matching.candidate_names(frames).count() == 200
+
+
 def test_folder_and_catalog(spark, tmp_path):
     (tmp_path / "plays.csv").write_text("artist,n\nNA,3\n,4\n")
     loaded = readers.load_folder(spark, str(tmp_path))
@@ -318,8 +407,10 @@ def test_published_tables(spark, tmp_path, mapped):
         _, described, few = jobs.inspect(spark, "pitchfork_reviews", 1)
         assert few.count() == 1 and described.filter("column_name = 'pub_date'").first().dtype == "string"
     finally:
-        for table in ("pitchfork_reviews", "pitchfork_review_artists", "dim_artist", "spotify_youtube_clean"):
+        for table in ("pitchfork_reviews", "pitchfork_review_artists", "spotify_youtube_clean"):
             spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql("DROP VIEW IF EXISTS dim_artist")
+        writers.drop_versions(spark, "dim_artist")
 
 
 def test_published_pairs_on_disk(spark, tmp_path):
