@@ -35,16 +35,20 @@ def date_or_null(c: Column, form: str | None = None) -> Column:
 
 
 def date_form(df: DataFrame, column: str) -> str | None:
-    """The one form that reads most values of a column, found in one pass; None is ISO, which also wins ties.
+    """The one form that reads most values of a column; None is ISO, which also wins ties.
 
-    No form reads what another one does unless day and month can be told apart by no value; then the earlier one is taken.
+    Other forms read none of the values that ISO does, so where ISO reads half of the values that aren't blank they are not
+    tried. Among forms that read as many, as day and month first where no day is past 12, the earlier one is taken.
     """
     c = F.col(column)
-    other = date_or_null(c).isNull() & (F.trim(c.cast("string")) != "")
-    reads = [F.count_if(other & date_or_null(c, form).isNotNull()) for form in DATE_FORMS]
-    row = df.agg(F.count(date_or_null(c)).alias("iso"), *[r.alias(f"f{i}") for i, r in enumerate(reads)]).first()
+    blank = F.trim(c.cast("string")) == ""
+    seen = df.agg(F.count(date_or_null(c)).alias("iso"), F.count_if(~blank).alias("filled")).first()
+    if 2 * seen["iso"] >= seen["filled"]:
+        return None
+    reads = [F.count_if(date_or_null(c).isNull() & ~blank & date_or_null(c, form).isNotNull()) for form in DATE_FORMS]
+    row = df.agg(*[r.alias(f"f{i}") for i, r in enumerate(reads)]).first()
     best = max(range(len(DATE_FORMS)), key=lambda i: (row[f"f{i}"], -i))
-    return DATE_FORMS[best] if row[f"f{best}"] > row["iso"] else None
+    return DATE_FORMS[best] if row[f"f{best}"] > seen["iso"] else None
 
 
 def whole_number(c: Column, kind: str) -> Column:

@@ -16,7 +16,7 @@ from ..session import materialize
 # Buckets a range of values is cut into in one round.
 BUCKETS = 64
 # Distinct values of a range that are put in order in one task; must be at least BUCKETS.
-LISTED = 65_536
+LISTED = 1_000_000
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
