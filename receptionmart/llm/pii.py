@@ -11,7 +11,7 @@
 5. Candidates over the threshold that touch no base span are added to the base spans.
 
 Texts are scanned once, without a shuffle; what is stored afterwards holds spans only, never text. Positions are code
-points, the end exclusive. Patterns start at a run's beginning or where the last match ended, which finds the same
+points, the end exclusive; they are summed block by block, so time grows with the number of matches in a text, not its square. Patterns start at a run's beginning or where the last match ended, which finds the same
 matches as the plain pattern and keeps long runs linear.
 
 Defined cases: null and empty texts have no spans; texts of any length are read whole; every row is judged on its own,
@@ -58,6 +58,12 @@ CUES = {
 }
 AGAINST = "version|isbn|order|invoice|serial|ref|page|section|figure|item|id"
 CONTEXT_CHARS = 40
+# Every match has two characters or more, so that many pieces hold the context.
+CONTEXT_PIECES = CONTEXT_CHARS // 2
+# Pieces whose places are summed one after the other.
+BLOCK_PIECES = 32
+SPANS = "array<struct<start: int, end: int, value: string, before: string>>"
+WITH_AFTER = SPANS.replace(">>", ", after: string>>")
 
 
 @dataclass(frozen=True)
@@ -73,22 +79,77 @@ def _length(c: Column) -> Column:
 
 
 def found_spans(text: Column, pattern: str, needs: str | None = None) -> Column:
-    """Array of (start, end, value) of all matches: gaps and matches alternate."""
-    none = F.array().cast("array<struct<start: int, end: int, value: string>>")
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), _length)
-    pairs = F.arrays_zip(gaps.alias("g"), values.alias("v"))
-    state = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["g"]
-        end = start + _length(x["v"])
-        span = F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), x["v"].alias("value"))
-        return F.when(x["v"].isNull(), acc).otherwise(F.struct(end.cast("int").alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans")))
-
-    spans = F.aggregate(pairs, state, step, lambda acc: acc["spans"])
+    """Array of (start, end, value, before, after) of all matches: gaps and matches alternate.
+
+    ``before`` has the CONTEXT_CHARS characters before a match and ``after`` the one behind it. The text itself is cut once,
+    at all matches; contexts come from the pieces nearby. Ends of blocks of pieces are summed first, so that places within
+    a block are summed from its start only.
+    """
+    none = F.array().cast(SPANS)
+    empty = F.array().cast(WITH_AFTER)
+    cut = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"))
+
+    def pieces(c: Column) -> Column:
+        """The last piece is what follows the last match."""
+        return F.transform(
+            F.arrays_zip(c["gaps"].alias("g"), c["values"].alias("v")),
+            lambda x: F.struct(
+                _length(x["g"]).alias("gap"),
+                F.coalesce(_length(x["v"]), F.lit(0)).alias("size"),
+                x["v"].alias("value"),
+                F.right(x["g"], F.lit(CONTEXT_CHARS)).alias("tail"),
+                F.left(F.concat(F.left(x["g"], F.lit(1)), F.coalesce(x["v"], F.lit(""))), F.lit(1)).alias("head"),
+            ),
+        )
+
+    def in_block(b: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            at = acc["at"] + x["gap"]
+            end = (at + x["size"]).cast("int")
+            before = F.right(F.concat(acc["before"], x["tail"]), F.lit(CONTEXT_CHARS))
+            span = F.struct(at.cast("int").alias("start"), end.alias("end"), x["value"].alias("value"), before.alias("before"))
+            behind = F.right(F.concat(before, x["value"]), F.lit(CONTEXT_CHARS))
+            return F.struct(end.alias("at"), behind.alias("before"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+
+        start = F.struct(b["start"].cast("int").alias("at"), b["before"].alias("before"), none.alias("spans"))
+        return F.aggregate(b["block"], start, step, lambda acc: acc["spans"])
+
+    def placed(every: Column) -> Column:
+        n = F.size(every) - 1
+        blocks = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(BLOCK_PIECES)), lambda i: _block(every, i, n))
+        spans = F.flatten(F.transform(_with_starts(blocks), in_block))
+        return F.transform(spans, lambda s, i: s.withField("after", F.get(every, i + 1)["head"]))
+
+    spans = _once(_once(cut, pieces), placed)
     has = F.regexp_like(text, F.lit(pattern)) if needs is None else F.contains(text, F.lit(needs))
-    return F.when(has, spans).otherwise(none)
+    return F.when(has, spans).otherwise(empty)
+
+
+def _block(every: Column, first: Column, n: Column) -> Column:
+    """Up to BLOCK_PIECES pieces with a match from a place on, their length, and the characters before them."""
+    block = F.slice(every, first + 1, F.least(n - first, F.lit(BLOCK_PIECES)))
+    length = F.aggregate(block, F.lit(0), lambda a, x: a + x["gap"] + x["size"])
+    back = F.least(first, F.lit(CONTEXT_PIECES))
+    near = F.transform(F.slice(every, first - back + 1, back), lambda x: F.concat(x["tail"], x["value"]))
+    before = F.right(F.array_join(near, ""), F.lit(CONTEXT_CHARS))
+    return F.struct(block.alias("block"), length.alias("length"), before.alias("before"))
+
+
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _with_starts(blocks: Column) -> Column:
+    """Blocks with the length of all before them."""
+
+    def start(lengths: Column, i: Column) -> Column:
+        return F.aggregate(F.slice(lengths, F.lit(1), i), F.lit(0), lambda a, x: a + x)
+
+    def placed(blocks: Column, lengths: Column) -> Column:
+        return F.transform(blocks, lambda b, i: F.struct(b["block"].alias("block"), b["before"].alias("before"), start(lengths, i).alias("start")))
+
+    return _once(blocks, lambda found: _once(F.transform(found, lambda b: b["length"]), lambda lengths: placed(found, lengths)))
 
 
 def digits_of(value: Column) -> Column:
@@ -128,12 +189,10 @@ def scan(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         kind, loose = key.split("_")[0], key.endswith("_loose")
 
         def one(s: Column) -> Column:
-            before = F.lower(F.substring(F.col("text"), F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT_CHARS))))
-            after = F.substring(F.col("text"), s["end"] + 1, 1)
             ok = F.lit(False) if loose else passes(kind, s["value"])
             return F.struct(
                 F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"),
-                ok.alias("ok"), F.lit(loose).alias("loose"), before.alias("before"), after.alias("after"),
+                ok.alias("ok"), F.lit(loose).alias("loose"), F.lower(s["before"]).alias("before"), s["after"].alias("after"),
             )
 
         return F.transform(F.col(names[key]), one)
