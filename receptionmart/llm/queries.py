@@ -32,7 +32,7 @@ def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.new_folder(spark, "warc")
-    warc.write_archives(table(spark, sf_dir, "pages"), folder, least_bytes=0)
+    warc.write_archives(warc.with_file_rows(table(spark, sf_dir, "pages")), folder, least_bytes=0, row_col="_row")
     records = materialize(warc.read_archives(spark, folder).drop("payload"))
     captures = materialize(warc.assemble(records).filter("response IS NOT NULL"))
     page = F.col("metadata")[0]["page_id"]
@@ -252,7 +252,8 @@ def _phrases_sql(rule: collocations.Rule = collocations.Rule()) -> str:
     sizes = ", ".join(f"({k})" for k in range(1, rule.longest + 1))
     return rf"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{lower}'), '[.,;:!?
--]')) AS piece FROM documents),
+-
+]')) AS piece FROM documents),
 w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM p),
 g AS (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM w CROSS JOIN (VALUES {sizes}) t(k)),
 c AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a FROM g GROUP BY ALL),

@@ -4,7 +4,7 @@ Writing uses Spark's own text writer, which commits whole files and reaches any
 separator is the line separator. Equal payloads are found on digests alone; then each page gets its request, its response
 or revisit, and its metadata record, all named by identifiers that follow from the page and tied together by
 concurrent-to fields. Reading takes whole files, which hold a bounded number of records, and cuts records by their
-stated lengths, so payloads may contain anything.
+stated lengths while the file is unpacked, so payloads may contain anything and one batch of records is held at a time.
 
 A transaction is what concurrent-to fields tie to one response or revisit, directly or over one other record, in either
 direction. Records that lead nowhere come out as transactions without a response.
@@ -19,9 +19,11 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import re
 import uuid
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +32,8 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 RECORDS_PER_FILE = 3000
+# Records and bytes of their blocks that leave a file at a time when it is read.
+BATCH_RECORDS, BATCH_BYTES = 500, 16 << 20
 END = "\r\n"
 RECORD = (
     "record_id string, record_type string, concurrent_to array<string>, refers_to string, target_uri string, "
@@ -71,15 +75,33 @@ def revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     )
 
 
+def with_file_rows(files: DataFrame, name: str = "_row") -> DataFrame:
+    """``files``, read from Parquet, with a name for each row: its file and its place there, however files are split."""
+    return files.withColumn(name, F.concat_ws("/", "_metadata.file_path", F.col("_metadata.row_index").cast("string")))
+
+
 def write_archives(
-    pages: DataFrame, folder: str, least_bytes: int = 0, id_col: str = "page_id", uri_col: str = "url", payload_col: str = "html"
+    pages: DataFrame,
+    folder: str,
+    least_bytes: int = 0,
+    id_col: str = "page_id",
+    uri_col: str = "url",
+    payload_col: str = "html",
+    row_col: str | None = None,
 ) -> None:
-    """Writes a request, a response or revisit, and a metadata record for each row to new files in ``folder``."""
+    """Writes a request, a response or revisit, and a metadata record for each row to new files in ``folder``.
+
+    Rows are scanned twice, for their digests and for the files, and both scans must name them alike. ``row_col`` names a
+    column that does so (see ``with_file_rows``); without one, rows are numbered and stored first.
+    """
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     rows = pages.select(
         F.col(id_col).cast("bigint").alias("page_id"),
         F.coalesce(F.regexp_replace(F.col(uri_col).cast("string"), r"[\r\n]", ""), F.lit("")).alias("uri"),
         F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("body"),
-    ).withColumn("row", F.monotonically_increasing_id())
+        row.alias("row"),
+    )
+    rows = rows if row_col else materialize(rows)
     again = revisits(rows.select("row", "page_id", F.col("body").cast("binary").alias("payload")), least_bytes)
     rows = rows.join(again, "row", "left")
     is_response = F.col("refers_row").isNull()
@@ -123,18 +145,21 @@ def write_archives(
     )
 
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, list[str]], bytes]]:
-    """Fields, in lower case, and block of each record of a file."""
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
+def parse_records(file: BinaryIO) -> Iterator[tuple[dict[str, list[str]], bytes]]:
+    """Fields, in lower case, and block of each record of a file; one record is held at a time."""
+    while version := file.readline():
+        if not version.startswith(b"WARC/"):
+            raise ValueError(f"a record should start here: {version[:40]!r}")
         fields: dict[str, list[str]] = {}
-        for line in data[at:stop].decode().split(END)[1:]:
+        while line := file.readline().decode().rstrip(END):
             name, _, value = line.partition(":")
             fields.setdefault(name.strip().lower(), []).append(value.strip())
         size = int(fields["content-length"][0])
-        yield fields, data[stop + 4 : stop + 4 + size]
-        at = stop + 4 + size + 4
+        block = file.read(size)
+        if len(block) < size:
+            raise ValueError(f"{fields['warc-record-id'][0]}: the file ends within its block")
+        yield fields, block
+        file.read(4)
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,17 +168,26 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                data = content.as_py()
-                rows = [_row(f, b) for f, b in parse_records(gzip.decompress(data) if path.endswith(".gz") else data)]
-                for start in range(0, len(rows), 500):
-                    columns = list(zip(*rows[start : start + 500]))
-                    kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [p.split()[0] for p in RECORD.split(", ")])
+                file: BinaryIO = io.BytesIO(content.as_py())
+                rows, held = [], 0
+                for fields, block in parse_records(gzip.open(file) if path.endswith(".gz") else file):
+                    rows.append(_row(fields, block))
+                    held += len(block)
+                    if len(rows) >= BATCH_RECORDS or held >= BATCH_BYTES:
+                        yield _batch(rows)
+                        rows, held = [], 0
+                if rows:
+                    yield _batch(rows)
 
     files = spark.read.format("binaryFile").load(folder).filter("length > 0")
     return files.select("path", "content").mapInArrow(run, RECORD)
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [p.split()[0] for p in RECORD.split(", ")])
+
+
 def _row(fields: dict[str, list[str]], block: bytes) -> tuple:
     kind = fields["warc-type"][0]
     digest = size = page = payload = None
