@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, materialize, runs_of, semi_join, small_enough, text_batches
+from .common import BROADCAST_ROWS, bounded_batches, materialize, runs_of, semi_join, small_enough, text_batches
 
 
 @dataclass(frozen=True)
@@ -353,6 +353,7 @@ def near_duplicates(df: DataFrame, p: Join = Join(), id_col: str = "doc_id", tex
     ``class_id`` is the smallest id of the class; ``n_links`` counts the other rows of a similarity of ``similarity`` or
     more, ``n_text_links`` the different sets among them, ``n_copies`` the rows with the same set.
     """
+    bounded_batches(df.sparkSession)
     texts = df.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = materialize(texts.mapInArrow(_summary(p), "id bigint, key binary, sketch binary, nodes array<bigint>"))
     reps = materialize(

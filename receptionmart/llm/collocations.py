@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, materialize, small_enough
+from .common import BROADCAST_ROWS, bounded_batches, materialize, small_enough
 from .warc import new_folder
 
 #: Ends of pieces become full stops, tabs and spaces separate words, other characters belong to words.
@@ -265,6 +265,7 @@ def _stored(spark: SparkSession, folder: str, steps: range, schema: str) -> Data
 def count_phrases(df: DataFrame, rule: Rule = Rule(), text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
     """(lang, size, phrase, a) of all phrases with at least ``least_count`` occurrences, and (lang, n) of all words."""
     spark = df.sparkSession
+    bounded_batches(spark)
     folder = new_folder(spark, "phrases")
     texts = df.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
@@ -275,7 +276,9 @@ def count_phrases(df: DataFrame, rule: Rule = Rule(), text_col: str = "text", la
     step, open_until, maps, n_reached = 0, rule.shards, None, 0
     while step < open_until:
         part = _scan(chunks.filter(F.col("shard") == step % rule.shards), rule, step < rule.shards, maps)
+        bounded_batches(spark, 1)  # a chunk is megabytes
         part.groupBy(*KEYS).agg(F.sum("n").alias("n")).filter("n > 0").write.parquet(f"{folder}/log/step={step}")
+        bounded_batches(spark)
         log = _stored(spark, f"{folder}/log", range(max(0, step - rule.shards + 1), step + 1), LOG)
         reached = _stored(spark, f"{folder}/reached", range(step), f"{REACHED}, hash bigint")
         few = _broadcast_if(n_reached <= FEW)

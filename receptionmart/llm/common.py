@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-__all__ = ["BROADCAST_ROWS", "anti_join", "materialize", "runs_of", "semi_join", "small_enough", "table", "text_batches", "text_rows"]
+__all__ = ["BROADCAST_ROWS", "anti_join", "bounded_batches", "materialize", "runs_of", "semi_join", "small_enough", "table", "text_batches", "text_rows"]
 
 # Rows of an Arrow batch; texts may be long, so fewer than the default.
 BATCH_ROWS = 2000
@@ -32,6 +32,11 @@ def small_enough(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Jobs that start from now on send so many rows to Python at a time; 10,000 whole texts take much memory outside the heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def semi_join(df: DataFrame, keys: DataFrame, column: str, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Rows of ``df`` whose ``column`` is in ``keys``, a stored frame of fixed-size values.
 
@@ -50,6 +55,7 @@ def text_batches(batches: Iterator[pa.RecordBatch], text: str = "text") -> Itera
 
 
 def text_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    bounded_batches(df.sparkSession)
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 

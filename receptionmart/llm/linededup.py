@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_batches
+from .common import bounded_batches, materialize, text_batches
 
 SEGMENTS = 128
 
@@ -167,6 +167,7 @@ def drop_lines(df: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_
     The counts replace columns of these names.
     """
     spark = df.sparkSession
+    bounded_batches(spark)
     texts = df.select(F.col(text_col).cast("string").alias("text"))
     suspects = spark.sparkContext.broadcast(repeated_filter(texts, rule))
     keys = materialize(repeated_keys(texts, rule, suspects))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import bounded_batches, text_batches
 
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
@@ -260,6 +260,7 @@ def pack_texts(
     loss_col: str | None = None,
 ) -> DataFrame:
     """One row per piece. ``loss_col`` names a boolean column: whether the tokens of a row bear loss (default: all)."""
+    bounded_batches(df.sparkSession)
     bears = F.coalesce(F.col(loss_col).cast("boolean"), F.lit(False)) if loss_col else F.lit(True)
     source = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), bears.alias("bears"))
 

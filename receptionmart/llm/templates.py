@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_batches
+from .common import bounded_batches, materialize, text_batches
 
 UNITS = frozenset(
     "mm cm m km in inch inches ft foot feet yd yard yards mile miles g kg mg lb lbs pound pounds oz ounce ounces l ml liter "
@@ -240,6 +240,7 @@ def find_leaks(
 ) -> DataFrame:
     """(doc_id, item_id, start_word, n_words, verbatim), one row for each text and item that match."""
     spark = df.sparkSession
+    bounded_batches(spark)
     source = items.select(F.col(item_id_col).cast("bigint").alias("id"), F.col(item_text_col).cast("string").alias("text"))
     wanted = materialize(source.mapInArrow(_windows(rule, None, None), WINDOWS))
     widths = sorted(r["width"] for r in wanted.select("width").distinct().collect())  # at most ``window`` values

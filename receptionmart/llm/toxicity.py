@@ -22,12 +22,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import bounded_batches, text_batches
 
 # ASCII signs that are not part of words become spaces.
 _PLAIN = bytes(b if b > 127 or chr(b).isalnum() or b == ord("'") else 32 for b in range(256))
 
 
+# Places of the state that are turned into weights at a time.
+SLICE = 1 << 17
+
+
 @dataclass(frozen=True)
 class Learner:
     alpha: float = 1.0
@@ -72,9 +76,13 @@ class Ftrl:
         self.n[at] += g * g
 
     def model(self) -> tuple[np.ndarray, np.ndarray]:
-        w = self.weights(np.arange(len(self.z)))
-        at = np.flatnonzero(w)
-        return at, w[at]
+        """Places and weights that are not zero, gathered from slices of the state."""
+        found = []
+        for start in range(0, len(self.z), SLICE):
+            at = np.arange(start, min(start + SLICE, len(self.z)))
+            w = self.weights(at)
+            found.append((at[w != 0], w[w != 0]))
+        return np.concatenate([at for at, _ in found]), np.concatenate([w for _, w in found])
 
 
 def train(texts: DataFrame, labels: DataFrame, learner: Learner) -> np.ndarray:
@@ -120,6 +128,7 @@ def score_toxicity(
 
     ``labels`` is (id, label) of the rows that may be learned from, ``learn_from`` holds their texts.
     """
+    bounded_batches(df.sparkSession)
     texts = learn_from.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     marks = labels.select(F.col(labels.columns[0]).alias("doc_id"), F.col(labels.columns[1]).alias("label"))
     weights = train(texts, marks, learner)
