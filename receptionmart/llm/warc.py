@@ -170,7 +170,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 file: BinaryIO = io.BytesIO(content.as_py())
                 rows, held = [], 0
-                for fields, block in parse_records(gzip.open(file) if path.endswith(".gz") else file):
+                for fields, block in parse_records(io.BufferedReader(gzip.open(file), 1 << 20) if path.endswith(".gz") else file):
                     rows.append(_row(fields, block))
                     held += len(block)
                     if len(rows) >= BATCH_RECORDS or held >= BATCH_BYTES:
