@@ -1,7 +1,9 @@
 """Settings that keep one task's share of the work bounded."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from receptionmart.plans import views
 from receptionmart.session import configure
@@ -32,3 +34,12 @@ def test_summary_is_spread_by_its_size_not_by_the_default_partitions(small_parti
     summary = views.artist_summary(views.Warehouse(reviews, bridge, artists, spark.range(0)))
     assert summary.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert summary.agg(F.sum("review_count")).first()[0] == 40_000
+
+
+def test_texts_reach_python_in_batches_of_few_bytes(spark):
+    @F.pandas_udf(T.LongType())
+    def characters(values: pd.Series) -> pd.Series:
+        return pd.Series([int(values.str.len().sum())] * len(values))
+
+    texts = configure(spark).range(2_000, numPartitions=1).select(F.rpad(F.col("id").cast("string"), 10_000, "x").alias("text"))
+    assert texts.select(characters("text").alias("n")).agg(F.max("n")).first()[0] < 6 * 2**20
