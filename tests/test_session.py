@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from receptionmart import workload
 from receptionmart.plans import views
 from receptionmart.session import configure
+from receptionmart.sources import readers
 
 ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 SMALLEST = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
@@ -43,3 +45,27 @@ def test_texts_reach_python_in_batches_of_few_bytes(spark):
 
     texts = configure(spark).range(2_000, numPartitions=1).select(F.rpad(F.col("id").cast("string"), 10_000, "x").alias("text"))
     assert texts.select(characters("text").alias("n")).agg(F.max("n")).first()[0] < 6 * 2**20
+
+
+def test_shuffles_are_cut_by_the_size_of_the_input(spark):
+    cuts = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert int(configure(spark, 10 * 2**30).conf.get(cuts)) == 5 * 2**10
+    assert int(configure(spark).conf.get(cuts)) == 200
+
+
+def test_scans_hold_no_credits_before_they_are_dealt(spark, tmp_path):
+    lines = [(1, 7), (1, 7), (1, 8), (2, 7), (None, 7), (2, None), (2, None)]
+    spark.createDataFrame(lines, "l_orderkey BIGINT, l_partkey BIGINT").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = workload.distinct_credits(configure(spark), str(tmp_path))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(1, "Part#000000007"), (1, "Part#000000008"), (2, "Part#000000007"), (None, "Part#000000007"), (2, None)], key=str
+    )
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange") == 1 and plan.rindex("HashAggregate") < plan.index("Exchange")
+
+
+def test_folder_size_counts_all_files(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x").write_bytes(b"12345")
+    (tmp_path / "y").write_bytes(b"123")
+    assert readers.stored_bytes(spark, str(tmp_path)) == 8
