@@ -7,7 +7,7 @@ A phrase is complete after one full round from its own start. The scans end when
 
 A scan counts the open phrases of its shard by word numbers within each chunk and writes the counts of the shard as a log. A
 phrase that reaches the threshold in a round has a shard with its share of the threshold, so sums over the log are taken of
-the phrases with such a shard only. Which phrases have reached the threshold, and whether lately, goes to the tasks as two
+the phrases with such a shard only; they are few and are written beside the log, which is not read again to find them. Which phrases have reached the threshold, and whether lately, goes to the tasks as two
 bit maps of a fixed size; a false bit only lets counts into the log of a phrase that never opened, and what is summed starts
 at the scan in which the phrase truly opened. All counts are exact and keyed by the phrase itself.
 
@@ -36,6 +36,7 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 FOLD = bytes.maketrans(ENDS + b"\t" + bytes(range(65, 91)), b"." * len(ENDS) + b" " + bytes(range(97, 123)))
 KEYS = ["lang", "size", "phrase"]
 REACHED, LOG = "lang string, size int, phrase string, start int", "lang string, size int, phrase string, n bigint"
+MANY = "lang string, size int, phrase string"
 CHUNK = "lang string, listed array<string>, hashes binary, words binary, over int, shard int"
 #: Phrases that may be broadcast; more are joined by a shuffle.
 FEW = BROADCAST_ROWS // 2
@@ -279,10 +280,12 @@ def count_phrases(df: DataFrame, rule: Rule = Rule(), text_col: str = "text", la
         bounded_batches(spark, 1)  # a chunk is megabytes
         part.groupBy(*KEYS).agg(F.sum("n").alias("n")).filter("n > 0").write.parquet(f"{folder}/log/step={step}")
         bounded_batches(spark)
-        log = _stored(spark, f"{folder}/log", range(max(0, step - rule.shards + 1), step + 1), LOG)
+        _stored(spark, f"{folder}/log", range(step, step + 1), LOG).filter(F.col("n") >= _share(rule)).select(*KEYS).write.parquet(f"{folder}/many/step={step}")
+        lately = range(max(0, step - rule.shards + 1), step + 1)
+        log, many = _stored(spark, f"{folder}/log", lately, LOG), _stored(spark, f"{folder}/many", lately, MANY)
         reached = _stored(spark, f"{folder}/reached", range(step), f"{REACHED}, hash bigint")
         few = _broadcast_if(n_reached <= FEW)
-        _hashed(_newly_reached(log, reached, few, rule)).write.parquet(f"{folder}/reached/step={step}")
+        _hashed(_newly_reached(log, many, reached, few, rule)).write.parquet(f"{folder}/reached/step={step}")
         reached = _stored(spark, f"{folder}/reached", range(step + 1), f"{REACHED}, hash bigint")
         shorter, n_reached = reached.agg(F.count_if((F.col("step") == step) & (F.col("size") < rule.longest)), F.count("*")).first()
         step += 1
@@ -299,14 +302,17 @@ def count_phrases(df: DataFrame, rule: Rule = Rule(), text_col: str = "text", la
     return counts, materialize(log.filter("size = 1").groupBy("lang").agg(F.sum("n").alias("n")))
 
 
-def _newly_reached(log: DataFrame, reached: DataFrame, few, rule: Rule) -> DataFrame:
+def _share(rule: Rule) -> int:
+    return -(-rule.least_count // rule.shards)
+
+
+def _newly_reached(log: DataFrame, many: DataFrame, reached: DataFrame, few, rule: Rule) -> DataFrame:
     """Phrases whose counts since they opened have come to the threshold with the last scan.
 
     ``log`` has the scans of one round up to this one. Sums of up to ``shards`` counts that reach the threshold have one of
-    at least its share; the others need no sum.
+    at least its share; the others need no sum. ``many`` has the phrases of the same scans that have one.
     """
-    share = -(-rule.least_count // rule.shards)
-    some = log.filter(F.col("n") >= share).select(*KEYS).distinct().join(few(reached.select(*KEYS)), KEYS, "left_anti")
+    some = many.select(*KEYS).distinct().join(few(reached.select(*KEYS)), KEYS, "left_anti")
     longer = some.filter("size > 1").withColumn("head", _shorter("phrase", True)).withColumn("tail", _shorter("phrase", False))
     for name in ("head", "tail"):
         longer = longer.join(few(reached.select("lang", F.col("phrase").alias(name), F.col("step").alias(f"{name}_step"))), ["lang", name])
