@@ -1,15 +1,16 @@
 """Phrase collocations by dynamic itemset counting.
 
 Texts are numbered once, word by word, in chunks that are dealt into shards. Shards are scanned in turn, round and round. The
-first round counts words. A longer phrase is counted from the scan after that in which both its subphrases (without its last
-and without its first word) have reached the threshold, in whatever scan that is, so several lengths are counted in one scan.
-A phrase is complete after one full round from its own start. The scans end when no phrase is open.
+first round counts words. A longer phrase is tallied from the scan after that in which both its subphrases (without its last
+and without its first word) have been reached, in whatever scan that is, so several lengths are counted in one scan. A phrase
+is done with after one full round from its own start. The scans end when no phrase is open.
 
-A scan counts the open phrases of its shard by word numbers within each chunk and writes the counts of the shard as a log. A
-phrase that reaches the threshold in a round has a shard with its share of the threshold, so sums over the log are taken of
-the phrases with such a shard only. Which phrases have reached the threshold, and whether lately, goes to the tasks as two
-bit maps of a fixed size; a false bit only lets counts into the log of a phrase that never opened, and what is summed starts
-at the scan in which the phrase truly opened. All counts are exact and keyed by the phrase itself.
+A scan tallies the open phrases of its shard by hash: a chunk gives one row of hashes and counts for each range of hashes, and
+ranges are summed apart from each other. A phrase that reaches the threshold in a round has a shard with its share of the
+threshold, so a hash counts as reached once a shard has that share of it. Which hashes have been reached, and whether lately,
+goes to the tasks as two bit maps of a fixed size. Hashes are shortened to 32 bits within a range. Shares, equal hashes and false bits only open phrases that need not be;
+when the scans have ended, phrases with a bit are counted in all chunks, by word numbers within a chunk and by the phrase
+itself over chunks, and those below the threshold go. So all counts are exact.
 
 Defined cases: a null text is empty, a null language is ``und``; each row is a text of its own, so repeated rows count as
 often as they come; phrases don't cross pieces or texts; a text of any length is counted whole, in parts that overlap by a
@@ -25,9 +26,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shuffles_removed
 from .common import BROADCAST_ROWS, bounded_batches, materialize, small_enough
 from .warc import new_folder
 
@@ -35,8 +37,10 @@ from .warc import new_folder
 ENDS = b".,;:!?\n\x0b\x0c\r"
 FOLD = bytes.maketrans(ENDS + b"\t" + bytes(range(65, 91)), b"." * len(ENDS) + b" " + bytes(range(97, 123)))
 KEYS = ["lang", "size", "phrase"]
-REACHED, LOG = "lang string, size int, phrase string, start int", "lang string, size int, phrase string, n bigint"
-CHUNK = "lang string, listed array<string>, hashes binary, words binary, over int, shard int"
+COUNTS, REACHED, TALLY = "lang string, size int, phrase string, n bigint", "key bigint", "part int, keys binary, counts binary"
+CHUNK = "lang string, n int, listed array<string>, hashes binary, words binary, over int, shard int"
+#: A chunk is megabytes, a range of its hashes kilobytes, so what goes to Python at a time is bounded by bytes.
+BATCH_BYTES = 4 * 2**20
 #: Phrases that may be broadcast; more are joined by a shuffle.
 FEW = BROADCAST_ROWS // 2
 
@@ -53,6 +57,9 @@ class Rule:
     map_bits: int = 1 << 24
     #: Words of a chunk, which is counted at a time.
     words_held: int = 1_000_000
+    #: Words of the table for each range of hashes, and the fewest ranges; a power of two of them is taken.
+    part_words: int = 4_000_000
+    least_parts: int = 64
 
 
 class Numbers(dict):
@@ -79,22 +86,22 @@ def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-def phrase_hashes(lang: str, phrases: list[str]) -> np.ndarray:
-    split = [p.encode("utf-8", "surrogatepass").split(b" ") for p in phrases]
-    out = np.zeros(len(split), np.uint64)
-    for n in {len(s) for s in split}:
-        at = [i for i, s in enumerate(split) if len(s) == n]
-        columns = [_word_hashes(lang, [split[i][k] for i in at]) for k in range(n)]
-        total = columns[0]
-        for c in columns[1:]:
-            total = _mixed(total, c)
-        out[at] = total
-    return out
+def _keys(hashes: np.ndarray, shift: int, is_longest: bool) -> np.ndarray:
+    """Shortened hashes; the last bit tells whether their phrases are of the greatest length, which opens no others."""
+    return (hashes >> np.uint64(shift)) << np.uint64(1) | np.uint64(is_longest)
+
 
+@dataclass(frozen=True)
+class Maps:
+    """Bits of the shortened hashes that have been reached, and of those that have been lately."""
 
-def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = (hashes & np.uint64(8 * len(bits) - 1)).astype(np.int64)
-    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+    reached: np.ndarray
+    late: np.ndarray
+    shift: int
+
+    def has(self, bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        at = ((hashes >> np.uint64(self.shift)) & np.uint64(8 * len(bits) - 1)).astype(np.int64)
+        return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
 class Held:
@@ -110,12 +117,13 @@ class Held:
         self.size += len(words) + 1
 
     def row(self, lang: str, over: int, shard: int) -> pa.RecordBatch:
-        listed = list(self.numbers)
+        listed, words = list(self.numbers), np.concatenate(self.parts)
         columns = [
             pa.array([lang], pa.string()),
+            pa.array([np.count_nonzero(words[: len(words) - over] > 0)], pa.int32()),
             pa.array([[w.decode("utf-8", "surrogatepass") for w in listed]], pa.list_(pa.string())),
             pa.array([_word_hashes(lang, listed).tobytes()], pa.binary()),
-            pa.array([np.concatenate(self.parts).tobytes()], pa.binary()),
+            pa.array([words.tobytes()], pa.binary()),
             pa.array([over], pa.int32()),
             pa.array([shard], pa.int32()),
         ]
@@ -153,40 +161,65 @@ def _numbered(texts: DataFrame, rule: Rule) -> DataFrame:
     return texts.mapInArrow(run, CHUNK)
 
 
-def _counts(lang: str, text: pa.Array, hashes: np.ndarray, words: np.ndarray, limit: int, with_words: bool, maps, longest: int) -> Iterator[pa.RecordBatch]:
-    """Rows of (lang, size, phrase, count) of the words, if asked for, and of the open phrases that begin before ``limit``."""
-    if with_words:
-        own = words[:limit]
-        yield _rows(lang, 1, text.slice(1), np.bincount(own[own > 0], minlength=len(text))[1:])
-    if maps is None:
-        return
-    reached, late = maps
-    usable, fresh = _has(reached, hashes), _has(late, hashes)
+def _phrases(hashes: np.ndarray, words: np.ndarray, limit: int, maps: Maps, longest: int, is_open: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(size, starts, hashes) of phrases of two words and more that begin before ``limit``.
+
+    Either of the open ones, whose subphrases have both been reached, one of them lately, or of those reached themselves.
+    """
+    usable, fresh = maps.has(maps.reached, hashes), maps.has(maps.late, hashes)
     usable[0] = False
-    # Starts of phrases of the length at hand that have reached the threshold, with their hashes and whether lately.
+    # Starts of phrases of the length at hand that have been reached, with their hashes and whether lately.
     start = np.flatnonzero(usable[words] & (words > 0))
     head, new = hashes[words[start]], fresh[words[start]]
     for size in range(2, longest + 1):
         # Both subphrases: this one, and the one that starts a word later.
         follows = np.flatnonzero(start[1:] == start[:-1] + 1)
-        begin = start[follows]
-        is_open = (new[follows] | new[follows + 1]) & (begin < limit)
-        at = begin[is_open]
-        if len(at):
-            key = words[at].astype(np.int64)
-            for k in range(1, size):
-                if k > 1:
-                    key = np.unique(key, return_inverse=True)[1]
-                key = key * len(text) + words[at + k]
-            _, first, counts = np.unique(key, return_index=True, return_counts=True)
-            columns = [text.take(pa.array(words[at[first] + k])) for k in range(size)]
-            yield _rows(lang, size, pc.binary_join_element_wise(*columns, " "), counts)
-        if size == longest or not len(begin):
+        if not len(follows):
             return
+        begin = start[follows]
         total = _mixed(head[follows], hashes[words[begin + size - 1]])
-        kept = _has(reached, total)
+        if is_open:
+            own = (new[follows] | new[follows + 1]) & (begin < limit)
+            yield size, begin[own], total[own]
+            if size == longest:
+                return
+        kept = maps.has(maps.reached, total)
         start, head = begin[kept], total[kept]
-        new = _has(late, head)
+        new = maps.has(maps.late, head)
+        if not is_open:
+            yield size, start[start < limit], head[start < limit]
+
+
+def _tallies(hashes: np.ndarray, words: np.ndarray, limit: int, with_words: bool, maps: Maps | None, rule: Rule, shift: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(keys in order, counts) of the words, if asked for, and of the open phrases that begin before ``limit``."""
+    if with_words:
+        own = words[:limit]
+        n = np.bincount(own[own > 0], minlength=len(hashes))
+        at = np.flatnonzero(n)
+        keys = _keys(hashes[at], shift, rule.longest == 1)
+        order = np.argsort(keys)
+        yield keys[order], n[at][order]
+    if maps is not None:
+        found = [_keys(total, shift, size == rule.longest) for size, _, total in _phrases(hashes, words, limit, maps, rule.longest, True)]
+        if found:
+            yield np.unique(np.concatenate(found), return_counts=True)
+
+
+def _counts(lang: str, text: pa.Array, hashes: np.ndarray, words: np.ndarray, limit: int, maps: Maps, longest: int) -> Iterator[pa.RecordBatch]:
+    """Rows of (lang, size, phrase, count) of the words and phrases with a bit that begin before ``limit``."""
+    own = words[:limit]
+    n = np.bincount(own[own > 0], minlength=len(hashes))
+    at = np.flatnonzero((n > 0) & maps.has(maps.reached, hashes))
+    yield _rows(lang, 1, text.take(pa.array(at)), n[at])
+    for size, at, _ in _phrases(hashes, words, limit, maps, longest, False):
+        key = words[at].astype(np.int64)
+        for k in range(1, size):
+            if k > 1:
+                key = np.unique(key, return_inverse=True)[1]
+            key = key * len(text) + words[at + k]
+        _, first, counts = np.unique(key, return_index=True, return_counts=True)
+        columns = [text.take(pa.array(words[at[first] + k])) for k in range(size)]
+        yield _rows(lang, size, pc.binary_join_element_wise(*columns, " "), counts)
 
 
 def _rows(lang: str, size: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
@@ -195,52 +228,74 @@ def _rows(lang: str, size: int, phrases: pa.Array, counts: np.ndarray) -> pa.Rec
     return pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
 
 
-def _scan(chunks: DataFrame, rule: Rule, with_words: bool, maps) -> DataFrame:
-    """Counts of the open phrases of a shard, as far as chunks have them."""
+def _maps_of(maps, shift: int) -> Maps | None:
+    return Maps(*(np.frombuffer(m, np.uint8) for m in maps.value), shift) if maps is not None else None
+
+
+def _shift(parts: int) -> int:
+    """Bits that hashes are shortened by: what is left tells the range and, with the last bit of a key, 32 bits within it."""
+    return 64 - 31 - (parts.bit_length() - 1)
+
+
+def _scan(chunks: DataFrame, rule: Rule, parts: int, with_words: bool, maps) -> DataFrame:
+    """Tallies of the open phrases of chunks: keys and counts of a chunk for each of ``parts`` ranges, a power of two."""
+    shift, least = _shift(parts), np.arange(parts, dtype=np.uint64) << np.uint64(32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = tuple(np.frombuffer(m, np.uint8) for m in maps.value) if maps is not None else None
+        bits = _maps_of(maps, shift)
         for batch in batches:
             for i in range(batch.num_rows):
-                lang, hashes, words, over = (batch.column(c)[i].as_py() for c in ("lang", "hashes", "words", "over"))
+                hashes, words, over = (batch.column(c)[i].as_py() for c in ("hashes", "words", "over"))
                 words = np.frombuffer(words, np.int32)
-                text = batch.column("listed")[i].values
-                yield from _counts(lang, text, np.frombuffer(hashes, np.uint64), words, len(words) - over, with_words, bits, rule.longest)
+                for keys, counts in _tallies(np.frombuffer(hashes, np.uint64), words, len(words) - over, with_words, bits, rule, shift):
+                    edges = [*np.searchsorted(keys, least).tolist(), len(keys)]
+                    filled = [p for p in range(parts) if edges[p] < edges[p + 1]]
+                    columns = ([x[edges[p] : edges[p + 1]].tobytes() for p in filled] for x in (keys.astype(np.uint32), counts.astype(np.int32)))
+                    yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), *(pa.array(x, pa.binary()) for x in columns)], ["part", "keys", "counts"])
 
-    return chunks.mapInArrow(run, LOG)
+    return chunks.select("hashes", "words", "over").mapInArrow(run, TALLY)
 
 
-def _hashed(reached: DataFrame) -> DataFrame:
-    """``reached`` with the hash of each phrase, as tasks compute it."""
+def _with_share(tallies: DataFrame, share: int) -> DataFrame:
+    """Keys that are found ``share`` times, summed range by range."""
+
+    def run(own: pa.Table) -> pa.Table:
+        keys, counts = (np.frombuffer(b"".join(own.column(c).to_pylist()), t) for c, t in (("keys", np.uint32), ("counts", np.int32)))
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        enough = np.add.reduceat(counts[order], first, dtype=np.int64) >= share
+        return pa.table({"key": pa.array((own.column("part")[0].as_py() << 32) + keys[first[enough]].astype(np.int64), pa.int64())})
+
+    return tallies.groupBy("part").applyInArrow(run, REACHED)
+
+
+def _counted(chunks: DataFrame, rule: Rule, parts: int, maps) -> DataFrame:
+    """(lang, size, phrase, a) of all phrases with ``least_count`` occurrences, which all have a bit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = _maps_of(maps, _shift(parts))
         for batch in batches:
-            langs, phrases = np.array(batch.column("lang").to_pylist(), object), batch.column("phrase").to_pylist()
-            hashes = np.zeros(len(phrases), np.uint64)
-            for lang in set(langs.tolist()):
-                own = np.flatnonzero(langs == lang)
-                hashes[own] = phrase_hashes(lang, [phrases[i] for i in own])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes.view(np.int64))], [*batch.schema.names, "hash"])
-
-    return reached.mapInArrow(run, f"{REACHED}, hash bigint")
+            for i in range(batch.num_rows):
+                lang, hashes, words, over = (batch.column(c)[i].as_py() for c in ("lang", "hashes", "words", "over"))
+                words = np.frombuffer(words, np.int32)
+                text = batch.column("listed")[i].values
+                yield from _counts(lang, text, np.frombuffer(hashes, np.uint64), words, len(words) - over, bits, rule.longest)
 
+    return chunks.mapInArrow(run, COUNTS).groupBy(*KEYS).agg(F.sum("n").alias("a")).filter(F.col("a") >= rule.least_count)
 
-def _bit_maps(reached: DataFrame, rule: Rule, since: int) -> tuple[bytes, bytes]:
-    """Maps of all phrases that have reached the threshold, and of those that have since a scan.
 
-    The driver gets one row for each segment of the map, a fixed number.
-    """
-    place = (F.pmod("hash", F.lit(rule.map_bits)) + 1).alias("place")  # Spark numbers bits and segments from 1
-    parts = reached.select(place, "step").groupBy(F.bitmap_bucket_number("place").alias("segment")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("whole"),
-        F.expr(f"bitmap_construct_agg(bitmap_bit_position(place)) FILTER (WHERE step >= {since})").alias("late"),
+def _bit_map(reached: DataFrame, rule: Rule) -> np.ndarray:
+    """Map of keys. The driver gets one row for each segment of the map, a fixed number at most."""
+    place = (F.shiftright("key", 1).bitwiseAND(F.lit(rule.map_bits - 1)) + 1).alias("place")  # Spark numbers bits and segments from 1
+    segments = reached.select(place).groupBy(F.bitmap_bucket_number("place").alias("segment")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits"),
     )
-    whole, late = bytearray(rule.map_bits // 8), bytearray(rule.map_bits // 8)
-    for row in parts.collect():
-        size = len(row["whole"])
-        at = slice((row["segment"] - 1) * size, row["segment"] * size)
-        whole[at], late[at] = row["whole"], row["late"] or bytes(size)
-    return bytes(whole), bytes(late)
+    out = np.zeros(rule.map_bits // 8, np.uint8)
+    for row in segments.collect():
+        size = len(row["bits"])
+        out[(row["segment"] - 1) * size : row["segment"] * size] = np.frombuffer(row["bits"], np.uint8)
+    return out
 
 
 def _broadcast_if(small: bool):
@@ -254,66 +309,46 @@ def _shorter(phrase: str, last: bool) -> Column:
     return F.expr(f"substring({phrase}, instr({phrase}, ' ') + 1)")
 
 
-def _stored(spark: SparkSession, folder: str, steps: range, schema: str) -> DataFrame:
-    """What scans have written, with their numbers."""
-    schema += ", step int"
-    if not steps:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", folder).parquet(*[f"{folder}/step={s}" for s in steps])
-
-
 def count_phrases(df: DataFrame, rule: Rule = Rule(), text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
     """(lang, size, phrase, a) of all phrases with at least ``least_count`` occurrences, and (lang, n) of all words."""
     spark = df.sparkSession
     bounded_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     folder = new_folder(spark, "phrases")
     texts = df.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
-    _numbered(texts, rule).write.partitionBy("shard").parquet(f"{folder}/chunks")
+    _numbered(texts, rule).write.partitionBy("shard").option("compression", "zstd").parquet(f"{folder}/chunks")
     chunks = spark.read.schema(CHUNK).parquet(f"{folder}/chunks")
+    n_words = chunks.agg(F.sum("n")).first()[0] or 0
+    parts = 1 << (max(rule.least_parts, -(-n_words // rule.part_words)) - 1).bit_length()
+    share = -(-rule.least_count // rule.shards)
 
-    step, open_until, maps, n_reached = 0, rule.shards, None, 0
+    step, open_until, maps, n_reached, steps = 0, rule.shards, None, 0, []
+    whole = np.zeros(rule.map_bits // 8, np.uint8)
     while step < open_until:
-        part = _scan(chunks.filter(F.col("shard") == step % rule.shards), rule, step < rule.shards, maps)
-        bounded_batches(spark, 1)  # a chunk is megabytes
-        part.groupBy(*KEYS).agg(F.sum("n").alias("n")).filter("n > 0").write.parquet(f"{folder}/log/step={step}")
-        bounded_batches(spark)
-        log = _stored(spark, f"{folder}/log", range(max(0, step - rule.shards + 1), step + 1), LOG)
-        reached = _stored(spark, f"{folder}/reached", range(step), f"{REACHED}, hash bigint")
-        few = _broadcast_if(n_reached <= FEW)
-        _hashed(_newly_reached(log, reached, few, rule)).write.parquet(f"{folder}/reached/step={step}")
-        reached = _stored(spark, f"{folder}/reached", range(step + 1), f"{REACHED}, hash bigint")
-        shorter, n_reached = reached.agg(F.count_if((F.col("step") == step) & (F.col("size") < rule.longest)), F.count("*")).first()
+        tallies = _scan(chunks.filter(F.col("shard") == step % rule.shards), rule, parts, step < rule.shards, maps)
+        found = _with_share(tallies, share)
+        if step:
+            known = spark.read.schema(REACHED).parquet(*[f"{folder}/reached/{s}" for s in range(step)])
+            found = found.join(_broadcast_if(n_reached <= FEW)(known), "key", "left_anti")
+        with shuffles_removed(spark):
+            found.write.parquet(f"{folder}/reached/{step}")
+        found = spark.read.schema(REACHED).parquet(f"{folder}/reached/{step}")
+        shorter, n_found = found.agg(F.count_if(F.col("key").bitwiseAND(F.lit(1)) == 0), F.count("*")).first()
+        steps = [*steps, _bit_map(found, rule)][-rule.shards :]
+        whole |= steps[-1]
+        n_reached += n_found
         step += 1
         if shorter:
             open_until = max(open_until, step + rule.shards)
         if maps is not None:
             maps.unpersist()
-        if step < open_until:
-            maps = spark.sparkContext.broadcast(_bit_maps(reached, rule, step - rule.shards))
-    log = _stored(spark, f"{folder}/log", range(step), LOG)
-    known = _broadcast_if(n_reached <= FEW)(_stored(spark, f"{folder}/reached", range(step), f"{REACHED}, hash bigint").select(*KEYS, "start"))
-    full = log.join(known, KEYS).filter((F.col("step") >= F.col("start")) & (F.col("step") < F.col("start") + rule.shards))
-    counts = materialize(full.groupBy(*KEYS).agg(F.sum("n").alias("a")))
-    return counts, materialize(log.filter("size = 1").groupBy("lang").agg(F.sum("n").alias("n")))
-
-
-def _newly_reached(log: DataFrame, reached: DataFrame, few, rule: Rule) -> DataFrame:
-    """Phrases whose counts since they opened have come to the threshold with the last scan.
-
-    ``log`` has the scans of one round up to this one. Sums of up to ``shards`` counts that reach the threshold have one of
-    at least its share; the others need no sum.
-    """
-    share = -(-rule.least_count // rule.shards)
-    some = log.filter(F.col("n") >= share).select(*KEYS).distinct().join(few(reached.select(*KEYS)), KEYS, "left_anti")
-    longer = some.filter("size > 1").withColumn("head", _shorter("phrase", True)).withColumn("tail", _shorter("phrase", False))
-    for name in ("head", "tail"):
-        longer = longer.join(few(reached.select("lang", F.col("phrase").alias(name), F.col("step").alias(f"{name}_step"))), ["lang", name])
-    opened = longer.select(*KEYS, (F.greatest("head_step", "tail_step") + 1).alias("start"))
-    opened = materialize(opened.unionByName(some.filter("size = 1").select(*KEYS, F.lit(0).alias("start"))))
-    sums = log.join(_broadcast_if(small_enough(opened, FEW))(opened), KEYS).filter(F.col("step") >= F.col("start"))
-    return sums.groupBy(*KEYS, "start").agg(F.sum("n").alias("n")).filter(F.col("n") >= rule.least_count).select(*KEYS, "start")
+        maps = spark.sparkContext.broadcast((whole.tobytes(), np.bitwise_or.reduce(steps).tobytes()))
+    with shuffles_removed(spark):
+        counts = materialize(_counted(chunks, rule, parts, maps))
+    maps.unpersist()
+    return counts, materialize(chunks.groupBy("lang").agg(F.sum("n").alias("n")).filter("n > 0"))
 
 
 def mine_phrases(df: DataFrame, rule: Rule = Rule(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:

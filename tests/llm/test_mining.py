@@ -213,6 +213,21 @@ def test_phrases_equal_plain_counts(spark, rule):
     assert set(map(tuple, collocations.mine_phrases(df, rule).collect())) == plain_phrases(rows, rule)
 
 
+def test_scan_sends_a_row_for_each_range_not_each_phrase(spark):
+    rows = phrase_texts()
+    df = spark.createDataFrame([(lang or "und", text or "") for lang, text in rows], "lang string, text string").repartition(5)
+    rule = collocations.Rule(least_count=1, longest=3, map_bits=1 << 15)
+    chunks = collocations._numbered(df, rule)
+    maps = spark.sparkContext.broadcast((b"\xff" * (1 << 12),) * 2)
+    got = collocations._scan(chunks, rule, 4, True, maps).collect()
+    want, _ = plain_counts(rows, rule)
+    # Words and longer phrases of a chunk are sent apart from each other.
+    assert len(got) <= 2 * 4 * chunks.count() < len(want) / 10
+    assert sum(np.frombuffer(r["counts"], np.int32).sum() for r in got) == sum(want.values())
+    keys = [x + (r["part"] << 32) for r in got for x in np.frombuffer(r["keys"], np.uint32).tolist()]
+    assert len(set(keys)) == len(want) and len({k for k in keys if k & 1}) == sum(p.count(" ") == 2 for _, p in want)
+
+
 def test_phrases_of_nothing(spark):
     assert collocations.mine_phrases(spark.createDataFrame([], "lang string, text string")).collect() == []
 
