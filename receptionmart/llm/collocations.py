@@ -10,7 +10,7 @@ ranges are summed apart from each other. A phrase that reaches the threshold in
 threshold, so a hash counts as reached once a shard has that share of it. Which hashes have been reached, and whether lately,
 goes to the tasks as two bit maps of a fixed size. Hashes are shortened to 32 bits within a range. Shares, equal hashes and false bits only open phrases that need not be;
 when the scans have ended, phrases with a bit are counted in all chunks, by word numbers within a chunk and by the phrase
-itself over chunks, and those below the threshold go. So all counts are exact.
+itself, packed by range, over chunks, and those below the threshold go. So all counts are exact.
 
 Defined cases: a null text is empty, a null language is ``und``; each row is a text of its own, so repeated rows count as
 often as they come; phrases don't cross pieces or texts; a text of any length is counted whole, in parts that overlap by a
@@ -19,6 +19,7 @@ phrase. Languages without candidates, and empty tables, give no row.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,10 +38,13 @@ from .warc import new_folder
 ENDS = b".,;:!?\n\x0b\x0c\r"
 FOLD = bytes.maketrans(ENDS + b"\t" + bytes(range(65, 91)), b"." * len(ENDS) + b" " + bytes(range(97, 123)))
 KEYS = ["lang", "size", "phrase"]
-COUNTS, REACHED, TALLY = "lang string, size int, phrase string, n bigint", "key bigint", "part int, keys binary, counts binary"
+COUNTS, PACKED = "lang string, size int, phrase string, a bigint", "part int, lang string, phrases binary, counts binary"
+REACHED, TALLY = "key bigint", "part int, keys binary, counts binary"
 CHUNK = "lang string, n int, listed array<string>, hashes binary, words binary, over int, shard int"
 #: A chunk is megabytes, a range of its hashes kilobytes, so what goes to Python at a time is bounded by bytes.
 BATCH_BYTES = 4 * 2**20
+#: Counted phrases of chunks that a task brings together before it sends them.
+PACKED_ROWS = 500_000
 #: Phrases that may be broadcast; more are joined by a shuffle.
 FEW = BROADCAST_ROWS // 2
 
@@ -206,12 +210,12 @@ def _tallies(hashes: np.ndarray, words: np.ndarray, limit: int, with_words: bool
 
 
 def _counts(lang: str, text: pa.Array, hashes: np.ndarray, words: np.ndarray, limit: int, maps: Maps, longest: int) -> Iterator[pa.RecordBatch]:
-    """Rows of (lang, size, phrase, count) of the words and phrases with a bit that begin before ``limit``."""
+    """Rows of (part, lang, phrase, n) of the words and phrases with a bit that begin before ``limit``."""
     own = words[:limit]
     n = np.bincount(own[own > 0], minlength=len(hashes))
     at = np.flatnonzero((n > 0) & maps.has(maps.reached, hashes))
-    yield _rows(lang, 1, text.take(pa.array(at)), n[at])
-    for size, at, _ in _phrases(hashes, words, limit, maps, longest, False):
+    yield _rows(lang, hashes[at], text.take(pa.array(at)), n[at], maps.shift)
+    for size, at, total in _phrases(hashes, words, limit, maps, longest, False):
         key = words[at].astype(np.int64)
         for k in range(1, size):
             if k > 1:
@@ -219,13 +223,29 @@ def _counts(lang: str, text: pa.Array, hashes: np.ndarray, words: np.ndarray, li
             key = key * len(text) + words[at + k]
         _, first, counts = np.unique(key, return_index=True, return_counts=True)
         columns = [text.take(pa.array(words[at[first] + k])) for k in range(size)]
-        yield _rows(lang, size, pc.binary_join_element_wise(*columns, " "), counts)
+        yield _rows(lang, total[first], pc.binary_join_element_wise(*columns, " "), counts, maps.shift)
 
 
-def _rows(lang: str, size: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-    n = len(phrases)
-    columns = [pa.array([lang], pa.string()).take(pa.array(np.zeros(n, np.int64))), pa.array(np.full(n, size, np.int32)), phrases, pa.array(counts, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
+def _rows(lang: str, hashes: np.ndarray, phrases: pa.Array, counts: np.ndarray, shift: int) -> pa.RecordBatch:
+    part = (hashes >> np.uint64(shift) >> np.uint64(31)).astype(np.int32)
+    columns = [pa.array(part), pa.repeat(pa.scalar(lang, pa.string()), len(phrases)), phrases, pa.array(counts, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["part", "lang", "phrase", "n"])
+
+
+def _packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """One row for each range and language, of phrases in order, which compress well. No word holds a line feed."""
+    order = [("part", "ascending"), ("lang", "ascending"), ("phrase", "ascending")]
+    rows = pa.Table.from_batches(held).group_by(["part", "lang", "phrase"]).aggregate([("n", "sum")]).sort_by(order)
+    part, lang, phrases = rows["part"].to_numpy(), rows["lang"].to_numpy(), rows["phrase"].to_pylist()
+    counts = rows["n_sum"].to_numpy()
+    edges = [0, *(np.flatnonzero((part[1:] != part[:-1]) | (lang[1:] != lang[:-1])) + 1).tolist(), len(part)]
+    columns = [
+        pa.array(part[edges[:-1]], pa.int32()),
+        pa.array(lang[edges[:-1]], pa.string()),
+        pa.array([zlib.compress("\n".join(phrases[a:b]).encode(), 1) for a, b in zip(edges, edges[1:])], pa.binary()),
+        pa.array([zlib.compress(counts[a:b].astype(np.int64).tobytes(), 1) for a, b in zip(edges, edges[1:])], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["part", "lang", "phrases", "counts"])
 
 
 def _maps_of(maps, shift: int) -> Maps | None:
@@ -271,18 +291,41 @@ def _with_share(tallies: DataFrame, share: int) -> DataFrame:
 
 
 def _counted(chunks: DataFrame, rule: Rule, parts: int, maps) -> DataFrame:
-    """(lang, size, phrase, a) of all phrases with ``least_count`` occurrences, which all have a bit."""
+    """Counts of the phrases with a bit, packed by range and language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = _maps_of(maps, _shift(parts))
+        held: list[pa.RecordBatch] = []
         for batch in batches:
             for i in range(batch.num_rows):
                 lang, hashes, words, over = (batch.column(c)[i].as_py() for c in ("lang", "hashes", "words", "over"))
                 words = np.frombuffer(words, np.int32)
                 text = batch.column("listed")[i].values
-                yield from _counts(lang, text, np.frombuffer(hashes, np.uint64), words, len(words) - over, bits, rule.longest)
+                held += [r for r in _counts(lang, text, np.frombuffer(hashes, np.uint64), words, len(words) - over, bits, rule.longest) if r.num_rows]
+                if sum(r.num_rows for r in held) >= PACKED_ROWS:
+                    yield _packed(held)
+                    held.clear()
+        if held:
+            yield _packed(held)
+
+    return chunks.mapInArrow(run, PACKED)
+
+
+def _frequent(packed: DataFrame, rule: Rule) -> DataFrame:
+    """(lang, size, phrase, a) of all phrases with ``least_count`` occurrences, summed range by range."""
+
+    def run(own: pa.Table) -> pa.Table:
+        tables = []
+        for lang, phrases, counts in zip(*(own.column(c) for c in ("lang", "phrases", "counts"))):
+            listed = pa.array(zlib.decompress(phrases.as_py()).decode().split("\n"), pa.string())
+            n = np.frombuffer(zlib.decompress(counts.as_py()), np.int64)
+            tables.append(pa.table({"lang": pa.repeat(lang, len(listed)), "phrase": listed, "n": n}))
+        sums = pa.concat_tables(tables).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+        sums = sums.filter(pc.greater_equal(sums["n_sum"], rule.least_count))
+        size = pc.add(pc.count_substring(sums["phrase"], " "), 1).cast(pa.int32())
+        return pa.table({"lang": sums["lang"], "size": size, "phrase": sums["phrase"], "a": sums["n_sum"]})
 
-    return chunks.mapInArrow(run, COUNTS).groupBy(*KEYS).agg(F.sum("n").alias("a")).filter(F.col("a") >= rule.least_count)
+    return packed.groupBy("part").applyInArrow(run, COUNTS)
 
 
 def _bit_map(reached: DataFrame, rule: Rule) -> np.ndarray:
@@ -346,7 +389,7 @@ def count_phrases(df: DataFrame, rule: Rule = Rule(), text_col: str = "text", la
             maps.unpersist()
         maps = spark.sparkContext.broadcast((whole.tobytes(), np.bitwise_or.reduce(steps).tobytes()))
     with shuffles_removed(spark):
-        counts = materialize(_counted(chunks, rule, parts, maps))
+        counts = materialize(_frequent(_counted(chunks, rule, parts, maps), rule))
     maps.unpersist()
     return counts, materialize(chunks.groupBy("lang").agg(F.sum("n").alias("n")).filter("n > 0"))
 

@@ -224,6 +224,7 @@ def test_scan_sends_a_row_for_each_range_not_each_phrase(spark):
     # Words and longer phrases of a chunk are sent apart from each other.
     assert len(got) <= 2 * 4 * chunks.count() < len(want) / 10
     assert sum(np.frombuffer(r["counts"], np.int32).sum() for r in got) == sum(want.values())
+    assert collocations._counted(chunks, rule, 4, maps).count() <= 4 * 4 * 5  # ranges, languages and tasks
     keys = [x + (r["part"] << 32) for r in got for x in np.frombuffer(r["keys"], np.uint32).tolist()]
     assert len(set(keys)) == len(want) and len({k for k in keys if k & 1}) == sum(p.count(" ") == 2 for _, p in want)
 
