@@ -463,3 +463,20 @@ def test_large_csv_is_read_in_parts(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_shuffles_of_the_dimension_do_not_stay_on_disk(spark):
+    """Nor do those of its checks; what numbers the rows runs when they are read."""
+
+    def shuffled():
+        listed = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().iterator()
+        names = set()
+        while listed.hasNext():
+            names.add(listed.next().name())
+        return {n for n in names if n.startswith("shuffle_")}
+
+    mapped = spark.range(200).select(F.col("id").cast("string").alias("artist"), (F.col("id") % 50).cast("string").alias("artist_norm"))
+    before = shuffled()
+    dim = dimension.artist_dimension(mapped)
+    assert not shuffled() - before
+    assert dim.count() == 50
